@@ -762,19 +762,16 @@ def champion_vs_challenger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lifecycle_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Drift report of the fitted champion, then trigger, challenger, comparison and gate."""
-    model, table = champion(spark, folder), feature_table(spark, folder)
-    scored = training.score_feature_table(model, table)
+    """Drift report of the proxy score, then trigger, challenger, comparison with the champion and gate."""
+    table = feature_table(spark, folder)
     report = lifecycle.lifecycle_report(
-        drift_report(scored, threshold=PROXY_THRESHOLD),
+        drift_report(scored_features(spark, folder), threshold=PROXY_THRESHOLD),
         table,
-        model,
+        champion(spark, folder),
         scratch(spark, "candidate"),
         threshold=PROXY_THRESHOLD,
         boosting=QUERY_BOOSTING,
     )
-    if report is None:
-        return spark.createDataFrame([], "decision string")
     return report.select(
         "trigger.retraining_recommended",
         "promotion.decision",

@@ -185,15 +185,20 @@ def score_drift(df: DataFrame, score: str = "score", bins: int = BINS) -> DataFr
 # --- categories, labels, windows ---------------------------------------------------------------------------------
 
 
-def categorical_total_variation(df: DataFrame, feature: str = "type") -> DataFrame:
+def categorical_total_variation(
+    df: DataFrame, feature: str = "type", totals: Mapping[str, int] | None = None
+) -> DataFrame:
     """(feature, metric, value, severity): half the sum of share differences over all categories.
 
     One count per category and window aligns both sides; a missing category is a category of its own. The
-    window totals are read first (two numbers), so that no window over the categories is needed.
+    rows per window (``totals``, counted here if not given) are two numbers known before the main pass, so
+    that no window over the categories is needed.
     """
-    totals = df.agg(
-        F.count_if(_in_window("reference")).alias("reference"), F.count_if(_in_window("current")).alias("current")
-    ).first()
+    if totals is None:
+        totals = df.agg(
+            F.count_if(_in_window("reference")).alias("reference"),
+            F.count_if(_in_window("current")).alias("current"),
+        ).first().asDict()
     category = F.coalesce(F.col(feature).cast("string"), F.lit("nan"))
     value = F.coalesce(
         F.sum(

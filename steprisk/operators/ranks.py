@@ -34,7 +34,12 @@ def _bounds(low: Sequence[float], high: Sequence[float]) -> list[tuple[float, fl
     return merged
 
 
-def _around(df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int]) -> dict:
+def _rounding(value: float) -> int:
+    """How far a whole number may move when the sketch keeps it as a double."""
+    return (abs(value) >> 52) + 1 if isinstance(value, int) and abs(value) >= 2**53 else 0
+
+
+def _around(df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int], kind: str) -> dict:
     """Value ranges that certainly contain the wanted ranks, from a quantile sketch with a known error."""
     wanted = {}
     for name, positions in ranks.items():
@@ -46,12 +51,16 @@ def _around(df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[st
         return {}
     sketches = df.agg(
         *[
-            F.percentile_approx(present(df, name), [*low, *high], _ACCURACY).alias(name)
+            F.percentile_approx(present(df, name).cast(kind), [*low, *high], _ACCURACY).alias(name)
             for name, (low, high) in wanted.items()
         ]
     ).first()
     return {
-        name: _bounds(sketches[name][: len(low)], sketches[name][len(low) :]) for name, (low, _) in wanted.items()
+        name: _bounds(
+            [value - _rounding(value) for value in sketches[name][: len(low)]],
+            [value + _rounding(value) for value in sketches[name][len(low) :]],
+        )
+        for name, (low, _) in wanted.items()
     }
 
 
@@ -84,7 +93,7 @@ def values_at_ranks(
         sizes = counted.asDict()
     whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in names)
     kind = "bigint" if whole else "double"
-    kept = _around(df, ranks, sizes)
+    kept = _around(df, ranks, sizes, kind)
     folded = []
     for name in names:
         value, gap = _fold(present(df, name).cast(kind), kept.get(name))

@@ -79,7 +79,7 @@ def lifecycle_report(
     later = table.where(F.col("step") >= cutoff)
     scored = score_feature_table(
         candidate, score_feature_table(champion, later, "champion_score", "float"), "challenger_score", "float"
-    )
+    ).select("isFraud", "champion_score", "challenger_score")
     both = {row["model"]: row.asDict() for row in champion_vs_challenger(scored, threshold=threshold).collect()}
     metrics = spark.createDataFrame(list(both.values()), EVALUATION)
     promotion = promotion_gate(as_pair(metrics)).first()

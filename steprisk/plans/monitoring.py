@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,11 @@ from steprisk.schema import DECISION_THRESHOLD, DRIFT_FEATURES, DRIFT_REPORT, RE
 
 
 def drift_metrics(
-    windowed: DataFrame, numeric: Sequence[str], categorical: str | None = "type", score: str | None = None
+    windowed: DataFrame,
+    numeric: Sequence[str],
+    categorical: str | None = "type",
+    score: str | None = None,
+    totals: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Metric rows of all numeric features, the categorical one and, if there is one, the score.
 
@@ -34,10 +38,16 @@ def drift_metrics(
         numeric.append(SCORE_FEATURE)
     metrics = numeric_drift(windowed, numeric)
     if categorical is not None:
-        metrics = metrics.unionByName(categorical_total_variation(windowed, categorical))
+        metrics = metrics.unionByName(categorical_total_variation(windowed, categorical, totals))
     return metrics
 
 
+def store_scores(scored: DataFrame, path: str) -> DataFrame:
+    """Write a scored table once and read it back: later passes scan columns instead of running the model."""
+    scored.sortWithinPartitions("step").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return scored.sparkSession.read.parquet(path)
+
+
 def drift_report(
     scored: DataFrame,
     cutoff: int = REFERENCE_END_STEP,
@@ -48,15 +58,19 @@ def drift_report(
     """One nested report row for a scored feature table.
 
     What is gathered are a few dozen numbers: a metric row per feature and one row each for labels, held-out
-    performance and windows. Scores and features are read once per pass, so ``scored`` should be a stored table.
+    performance and windows. Scores and features are read in several passes, so ``scored`` should be a stored
+    table (see ``store_scores``), not a plan that runs the model again each time.
     """
+    spark = scored.sparkSession
     windowed = fixed_windows(drift_features(scored), cutoff)
-    order = {name: place for place, name in enumerate([*numeric, "type", SCORE_FEATURE])}
-    rows = [row.asDict() for row in drift_metrics(windowed, numeric, "type", score).collect()]
-    metrics = sorted(rows, key=lambda row: order[row["feature"]])
     windows = {row["window"]: row for row in window_profile(windowed).collect()}
+    if len(windows) < 2:
+        raise ValueError(f"step {cutoff} leaves an empty window")
     reference, current = windows["reference"], windows["current"]
-    spark = scored.sparkSession
+    totals = {name: row["rows"] for name, row in windows.items()}
+    order = {name: place for place, name in enumerate([*numeric, "type", SCORE_FEATURE])}
+    rows = [row.asDict() for row in drift_metrics(windowed, numeric, "type", score, totals).collect()]
+    metrics = sorted(rows, key=lambda row: order[row["feature"]])
     report = {
         "reference_rows": reference["rows"],
         "current_rows": current["rows"],

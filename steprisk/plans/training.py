@@ -57,20 +57,22 @@ def fit_classifier(
     features: Sequence[str],
     label: str = "isFraud",
     boosting: Boosting = Boosting(),
+    positive_weight: float | None = None,
 ) -> PipelineModel:
-    """Weighted gradient-boosted trees over the named columns.
+    """Weighted gradient-boosted trees over the named columns; ``class_weight`` is the default weight.
 
     The assembled rows are kept (memory, then disk) for the many passes of the fit and released after it;
     long lineage is cut through the shared checkpoint folder every ten rounds.
     """
     shared_folder(train.sparkSession)
-    weight = class_weight(train, label).first()["scale_pos_weight"]
+    if positive_weight is None:
+        positive_weight = class_weight(train, label).first()["scale_pos_weight"]
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     rows = assembler.transform(
         train.select(
             *features,
             F.col(label).cast("double").alias(label),
-            F.when(F.col(label) == 1, float(weight)).otherwise(1.0).alias(WEIGHT),
+            F.when(F.col(label) == 1, float(positive_weight)).otherwise(1.0).alias(WEIGHT),
         )
     ).select("features", label, WEIGHT)
     trees = GBTClassifier(
@@ -158,7 +160,8 @@ class Trained:
 def _finish(
     train: DataFrame, test: DataFrame, features: Sequence[str], boosting: Boosting, params: dict
 ) -> Trained:
-    model = fit_classifier(train, features, boosting=boosting)
+    weight = class_weight(train).first()["scale_pos_weight"]
+    model = fit_classifier(train, features, boosting=boosting, positive_weight=weight)
     scored = score(model, test)
     metrics = with_false_positive_rate(model_evaluation(scored, threshold=0.5))
     logged = {
@@ -168,7 +171,7 @@ def _finish(
         "learning_rate": boosting.rate,
         "subsample": boosting.row_fraction,
         "colsample": boosting.column_fraction,
-        "scale_pos_weight": class_weight(train).first()["scale_pos_weight"],
+        "scale_pos_weight": weight,
         "threshold": 0.5,
         "isFlaggedFraud_used": False,
         **params,

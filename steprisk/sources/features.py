@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_features(df: DataFrame, path: str, row_key: str = "event_id") -> None:
-    """Parquet, ZSTD, globally ordered by step so that step predicates skip files and row groups.
+def write_features(df: DataFrame, path: str, row_key: str = "event_id", global_order: bool = False) -> None:
+    """Parquet, ZSTD, ordered by step, so that step predicates skip row groups.
 
-    The row key takes part in the range boundaries: a step holding very many rows is split over several files.
+    Each file is ordered by step without moving rows between tasks. ``global_order`` also orders the files
+    among themselves, at the price of range sampling and one more shuffle of the whole table; the row key takes
+    part in the range boundaries then, so a step holding very many rows is split over several files.
     """
+    if global_order:
+        df = df.repartitionByRange("step", row_key)
     (
-        df.repartitionByRange("step", row_key)
-        .sortWithinPartitions("step", row_key)
+        df.sortWithinPartitions("step", row_key)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .parquet(path)

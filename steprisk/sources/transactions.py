@@ -25,6 +25,15 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumns({field.name: F.col(field.name).cast(field.dataType) for field in TRANSACTIONS})
 
 
+def with_row_key(df: DataFrame, row_key: str = "event_id") -> DataFrame:
+    """The table with a unique row number, if it has none yet.
+
+    Numbers follow the position inside a file. Several files are not ordered among each other, so a source
+    whose ties matter should bring its own key.
+    """
+    return df if row_key in df.columns else df.withColumn(row_key, F.monotonically_increasing_id())
+
+
 def typed_projection(df: DataFrame, keep: tuple[str, ...] = (), permissive: bool = False) -> DataFrame:
     """The eight history input columns with fixed types; ``permissive`` turns unreadable values into NULL."""
     def typed(name: str):
