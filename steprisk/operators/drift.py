@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import floor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from steprisk.functions.decisions import severity, worst_severity
@@ -28,21 +29,27 @@ def _in_window(name: str) -> Column:
 # --- bin edges ---------------------------------------------------------------------------------------------------
 
 
+def _values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The window and the features as doubles: NaN is missing, -0.0 is 0.0."""
+    return df.select("window", *[(present(df, name).cast("double") + 0.0).alias(name) for name in features])
+
+
 def _profile(df: DataFrame, features: Sequence[str]) -> dict[str, dict]:
     """Per feature: rows with a value in each window, and the joint range. One aggregate for all features."""
-    wanted = []
-    for name in features:
-        value = present(df, name)
-        wanted += [
-            F.count(F.when(_in_window("reference"), value)).alias(f"{name}:reference"),
-            F.count(F.when(_in_window("current"), value)).alias(f"{name}:current"),
-            F.min(value.cast("double")).alias(f"{name}:low"),
-            F.max(value.cast("double")).alias(f"{name}:high"),
-        ]
-    row = df.agg(*wanted).first().asDict()
-    return {
-        name: {part: row[f"{name}:{part}"] for part in ("reference", "current", "low", "high")} for name in features
-    }
+    profile = (
+        _values(df, features)
+        .unpivot(["window"], list(features), "feature", "value")
+        .where(F.col("value").isNotNull())
+        .groupBy("feature")
+        .agg(
+            F.count_if(_in_window("reference")).alias("reference"),
+            F.count_if(_in_window("current")).alias("current"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        )
+    )
+    found = {row["feature"]: row.asDict() for row in profile.collect()}
+    return {name: found.get(name, {"reference": 0, "current": 0}) for name in features}
 
 
 def _between(low: float, high: float, share: float) -> float:
@@ -111,34 +118,29 @@ def edges_table(spark: SparkSession, edges: Mapping[str, Sequence[float]]) -> Da
 # --- population stability ----------------------------------------------------------------------------------------
 
 
-def _bin(value: Column, edges: Sequence[float]) -> Column:
-    """Number of inner edges the value reaches; NULL for a missing value."""
-    reached = F.lit(0)
-    for edge in edges[1:-1]:
-        reached = reached + (value >= F.lit(float(edge))).cast("int")
-    return F.when(value.isNotNull(), reached)
-
-
 def psi_bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     """(feature, bin, reference, current) for every bin, empty ones included.
 
-    All features are binned against literal edges in one scan and counted together; what is shuffled is at
-    most one row per feature and bin from each task.
+    All features are binned in one scan (half-open bins, outer ones unbounded) and counted together; what is
+    shuffled is at most one row per feature and bin from each task. The bin search would tell -0.0 from 0.0,
+    so neither values nor edges hold it.
     """
     spark = df.sparkSession
-    binned = {name: found for name, found in edges.items() if found}
+    names = [name for name, found in edges.items() if found]
     grid = spark.createDataFrame(
-        [(name, i) for name, found in binned.items() for i in range(len(found) - 1)], "feature string, bin int"
+        [(name, i) for name in names for i in range(len(edges[name]) - 1)], "feature string, bin int"
     )
-    if not binned:
+    if not names:
         return grid.select("feature", "bin", F.lit(0).alias("reference"), F.lit(0).alias("current"))
-    cells = [
-        cell
-        for name, found in binned.items()
-        for cell in (F.lit(name), _bin(present(df, name).cast("double"), found))
-    ]
+    bins = Bucketizer(
+        splitsArray=[[float("-inf"), *[edge + 0.0 for edge in edges[name][1:-1]], float("inf")] for name in names],
+        inputCols=names,
+        outputCols=[f"{name}:bin" for name in names],
+        handleInvalid="keep",
+    ).transform(_values(df, names))
     counted = (
-        df.select("window", F.stack(F.lit(len(binned)), *cells).alias("feature", "bin"))
+        bins.select("window", *[F.col(f"{name}:bin").cast("int").alias(name) for name in names])
+        .unpivot(["window"], names, "feature", "bin")
         .where(F.col("bin").isNotNull())
         .groupBy("feature", "bin")
         .agg(
@@ -151,16 +153,15 @@ def psi_bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataF
 
 def psi(bin_counts: DataFrame) -> DataFrame:
     """(feature, psi) from complete bin counts; shares are floored, not re-normalised."""
-    totals = bin_counts.groupBy("feature").agg(
-        F.greatest(F.sum("reference"), F.lit(1)).alias("references"),
-        F.greatest(F.sum("current"), F.lit(1)).alias("currents"),
-    )
-    expected = F.greatest(F.col("reference") / F.col("references"), F.lit(EMPTY_SHARE))
-    actual = F.greatest(F.col("current") / F.col("currents"), F.lit(EMPTY_SHARE))
+    feature = Window.partitionBy("feature")
+
+    def share(side: str) -> Column:
+        return F.greatest(F.col(side) / F.greatest(F.sum(side).over(feature), F.lit(1)), F.lit(EMPTY_SHARE))
+
     return (
-        bin_counts.join(F.broadcast(totals), "feature")
+        bin_counts.select("feature", share("reference").alias("expected"), share("current").alias("actual"))
         .groupBy("feature")
-        .agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi"))
+        .agg(F.sum((F.col("actual") - F.col("expected")) * F.log(F.col("actual") / F.col("expected"))).alias("psi"))
     )
 
 

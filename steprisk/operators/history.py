@@ -163,11 +163,10 @@ def grouped_history(
     row_key: str = "event_id",
     amount_scale: int | None = 2,
     hot_rows: int = HOT_ROWS,
-    heavy: tuple[dict[int, int], dict[int, int]] | None = None,
 ) -> DataFrame:
     """All history columns from per-step aggregates joined back: no window group exceeds the number of steps."""
     origin_keys, pair_keys = ["step", *ORIGIN], ["step", *PAIR]
-    by_origin, by_pair = heavy or heavy_keys(df, [origin_keys, pair_keys], hot_rows)
+    by_origin, by_pair = heavy_keys(df, [origin_keys, pair_keys], hot_rows)
     with_origin = skew_left_join(df, origin_history(df, amount_scale), origin_keys, row_key, by_origin, hot_rows)
     return skew_left_join(with_origin, pair_history(df), pair_keys, row_key, by_pair, hot_rows)
 
@@ -191,12 +190,12 @@ def step_history(
         return grouped_history(df, row_key, amount_scale, hot_rows)
     if plan != "auto":
         raise ValueError(f"unknown plan: {plan}")
-    accounts, by_origin, by_pair = heavy_keys(df, [ORIGIN, ["step", *ORIGIN], ["step", *PAIR]], hot_rows)
+    (accounts,) = heavy_keys(df, [ORIGIN], hot_rows)
     if not accounts:
         return direct_history(df, row_key, amount_scale)
     hot = is_heavy(ORIGIN, accounts)
     return direct_history(df.where(~hot), row_key, amount_scale).unionByName(
-        grouped_history(df.where(hot), row_key, amount_scale, hot_rows, (by_origin, by_pair))
+        grouped_history(df.where(hot), row_key, amount_scale, hot_rows)
     )
 
 

@@ -227,14 +227,15 @@ def threshold_sweep(
     """``evaluate_threshold`` for every threshold in one pass.
 
     Each score is binned by how many thresholds it reaches; per-threshold counts are then sums over a table
-    with at most one row per threshold and one more. A missing score reaches no threshold.
+    with at most one row per threshold and one more. A missing score reaches no threshold, and -0.0 counts
+    as 0.0.
     """
     limits = sorted(thresholds)
-    known = df.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label")).fillna(
+    known = df.select((F.col(score).cast("double") + 0.0).alias("score"), F.col(label).alias("label")).fillna(
         float("-inf"), ["score"]
     )
     bins = Bucketizer(
-        splits=[float("-inf"), *limits, float("inf")], inputCol="score", outputCol="reached"
+        splits=[float("-inf"), *[limit + 0.0 for limit in limits], float("inf")], inputCol="score", outputCol="reached"
     ).transform(known)
     counted = bins.groupBy(F.col("reached").cast("int").alias("reached")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")

@@ -87,6 +87,10 @@ def class_balance(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
+# A report row lists every type; a column with more values than this is not a transaction type.
+MAX_TYPES = 10_000
+
+
 def quality_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One nested row: class balance, duplicates, missing values per column and rows per type.
 
@@ -95,12 +99,15 @@ def quality_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     columns = list(columns or df.columns)
     table = df.select(*columns)
     validate_schema(table)
+    types = type_counts(table).limit(MAX_TYPES + 1).collect()
+    if len(types) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} transaction types do not fit one report")
     balance = class_balance(table).first().asDict()
     report = {
         **balance,
         "duplicate_rows": duplicate_row_count(table).first()["duplicate_rows"],
         "missing_values": {row["column"]: row["missing"] for row in null_counts(table).collect()},
-        "transaction_types": {row["type"]: row["rows"] for row in type_counts(table).limit(10_000).collect()},
+        "transaction_types": {row["type"]: row["rows"] for row in types},
     }
     return df.sparkSession.createDataFrame([report], QUALITY_REPORT)
 

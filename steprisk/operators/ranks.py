@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import inf, nextafter
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,7 @@ from steprisk.operators.prefix import ordered_prefix
 
 # Above this many rows, values far from every wanted rank are folded together before the shuffle.
 FOLD_ROWS = 2_000_000
-_ACCURACY = 10_000
+_ACCURACY = 2_000
 
 
 def present(df: DataFrame, name: str) -> Column:
@@ -23,15 +25,9 @@ def present(df: DataFrame, name: str) -> Column:
     return column
 
 
-def _bounds(low: Sequence[float], high: Sequence[float]) -> list[tuple[float, float]]:
-    """Merge overlapping [low, high] ranges."""
-    merged: list[tuple[float, float]] = []
-    for start, end in sorted(zip(low, high)):
-        if merged and start <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(merged[-1][1], end))
-        else:
-            merged.append((start, end))
-    return merged
+def _plain(df: DataFrame, name: str, whole: bool) -> Column:
+    """The column as bigint or double; a double has neither NaN nor -0.0."""
+    return F.col(name).cast("bigint") if whole else present(df, name).cast("double") + 0.0
 
 
 def _rounding(value: float) -> int:
@@ -39,44 +35,73 @@ def _rounding(value: float) -> int:
     return (abs(value) >> 52) + 1 if isinstance(value, int) and abs(value) >= 2**53 else 0
 
 
-def _around(df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int], kind: str) -> dict:
-    """Value ranges that certainly contain the wanted ranks, from a quantile sketch with a known error."""
-    wanted = {}
-    for name, positions in ranks.items():
-        if sizes[name] > FOLD_ROWS:
-            share = [position / sizes[name] for position in positions]
-            margin = 3 / _ACCURACY
-            wanted[name] = ([max(0.0, s - margin) for s in share], [min(1.0, s + margin) for s in share])
-    if not wanted:
+def _sketched_ranges(
+    df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int]
+) -> dict[str, list[tuple[float, float]]]:
+    """Per large column, [low, high] value ranges that contain the wanted ranks.
+
+    The quantile sketch is off by at most ``size / accuracy`` ranks; three times that is allowed on each side.
+    """
+    shares = {
+        name: [place / sizes[name] for place in places] for name, places in ranks.items() if sizes[name] > FOLD_ROWS
+    }
+    if not shares:
         return {}
-    sketches = df.agg(
+    margin = 3 / _ACCURACY
+    sketched = df.agg(
         *[
-            F.percentile_approx(present(df, name).cast(kind), [*low, *high], _ACCURACY).alias(name)
-            for name, (low, high) in wanted.items()
+            F.percentile_approx(
+                name, [max(0.0, s - margin) for s in found] + [min(1.0, s + margin) for s in found], _ACCURACY
+            ).alias(name)
+            for name, found in shares.items()
         ]
     ).first()
     return {
-        name: _bounds(
-            [value - _rounding(value) for value in sketches[name][: len(low)]],
-            [value + _rounding(value) for value in sketches[name][len(low) :]],
-        )
-        for name, (low, _) in wanted.items()
+        name: [
+            (low - _rounding(low), high + _rounding(high))
+            for low, high in zip(sketched[name][: len(found)], sketched[name][len(found) :])
+        ]
+        for name, found in shares.items()
     }
 
 
-def _fold(value: Column, kept: Sequence[tuple[float, float]] | None) -> tuple[Column, Column]:
-    """(value, 0) inside a kept range; all values of a gap become one cell at the edge of a neighbouring range.
+def _cells(df: DataFrame, ranges: Mapping[str, Sequence[tuple[float, float]]]) -> DataFrame:
+    """(feature, cell, value, rows): values inside a range keep their own row, all others share one per gap.
 
-    A gap cell is (end of the range before it, 1), or (start of the first range, -1). Ordered by (value, gap)
-    the cells keep the order of the values, so ranks of kept values do not change.
+    ``cell`` numbers the stretches between range ends from left to right, so (cell, value) orders like the value.
     """
-    if kept is None:
-        return value, F.lit(0)
-    folded, gap = F.lit(kept[0][0]), F.lit(-1)
-    for start, end in kept:
-        folded = F.when(value > end, F.lit(end)).when(value >= start, value).otherwise(folded)
-        gap = F.when(value > end, F.lit(1)).when(value >= start, F.lit(0)).otherwise(gap)
-    return F.when(value.isNotNull(), folded), gap
+    names = df.columns
+    splits, kept = {}, {}
+    for name, found in ranges.items():
+        ends = {float(low) for low, _ in found} | {nextafter(float(high), inf) for _, high in found}
+        splits[name] = [-inf, *sorted(ends - {-inf, inf}), inf]
+        kept[name] = [
+            cell for cell, start in enumerate(splits[name][:-1]) if any(low <= start <= high for low, high in found)
+        ]
+    folded = [name for name in names if len(splits.get(name, [])) > 2]
+    if folded:
+        df = Bucketizer(
+            splitsArray=[splits[name] for name in folded],
+            inputCols=[f"{name}:place" for name in folded],
+            outputCols=[f"{name}:cell" for name in folded],
+            handleInvalid="keep",
+        ).transform(df.withColumns({f"{name}:place": F.col(name).cast("double") for name in folded}))
+
+    def cell(name: str) -> Column:
+        value = F.col(name)
+        if name not in folded:
+            return F.when(value.isNotNull(), F.struct(F.lit(0).alias("cell"), value.alias("value")))
+        number = F.col(f"{name}:cell").cast("int")
+        inside = F.when(number.isin(kept[name]), value)
+        return F.when(value.isNotNull(), F.struct(number.alias("cell"), inside.alias("value")))
+
+    return (
+        df.select(*[cell(name).alias(name) for name in names])
+        .unpivot([], list(names), "feature", "at")
+        .where(F.col("at").isNotNull())
+        .groupBy("feature", "at.cell", "at.value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
 
 
 def values_at_ranks(
@@ -88,23 +113,12 @@ def values_at_ranks(
     so neither a dominant value nor a dominant column lands in one task. Only the wanted values are collected.
     """
     names = list(ranks)
-    if sizes is None:
-        counted = df.agg(*[F.count(present(df, name)).alias(name) for name in names]).first()
-        sizes = counted.asDict()
     whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in names)
-    kind = "bigint" if whole else "double"
-    kept = _around(df, ranks, sizes, kind)
-    folded = []
-    for name in names:
-        value, gap = _fold(present(df, name).cast(kind), kept.get(name))
-        folded += [F.lit(name), value, gap]
-    cells = (
-        df.select(F.stack(F.lit(len(names)), *folded).alias("feature", "value", "gap"))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value", "gap")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    placed = ordered_prefix(cells, [F.col("value"), F.col("gap")], {"before": "rows"}, ["feature"])
+    values = df.select(*[_plain(df, name, whole).alias(name) for name in names])
+    if sizes is None:
+        sizes = values.agg(*[F.count(name).alias(name) for name in names]).first().asDict()
+    cells = _cells(values, _sketched_ranges(values, ranks, sizes))
+    placed = ordered_prefix(cells, [F.col("cell"), F.col("value")], {"before": "rows"}, ["feature"])
     wanted = df.sparkSession.createDataFrame(
         [(name, rank) for name, positions in ranks.items() for rank in sorted(set(positions))],
         "feature string, rank bigint",
@@ -112,12 +126,12 @@ def values_at_ranks(
     found = (
         placed.join(F.broadcast(wanted), "feature")
         .where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("rows")))
-        .select("feature", "rank", "value", "gap")
+        .select("feature", "rank", "value")
         .collect()
     )
-    values: dict[str, dict[int, float]] = {name: {} for name in names}
+    result: dict[str, dict[int, float]] = {name: {} for name in names}
     for row in found:
-        if row["gap"]:
+        if row["value"] is None:
             raise AssertionError(f"rank {row['rank']} of {row['feature']} fell outside its sketched range")
-        values[row["feature"]][row["rank"]] = row["value"]
-    return values
+        result[row["feature"]][row["rank"]] = row["value"]
+    return result

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from steprisk.operators.ranks import values_at_ranks
+from steprisk.operators.ranks import present, values_at_ranks
 from steprisk.schema import REFERENCE_END_STEP
 
 
@@ -46,7 +47,10 @@ def split_guards(df: DataFrame, train_fraction: float = 0.8, time_column: str =
         raise ValueError("train_fraction must lie strictly between 0 and 1")
     if time_column not in df.columns:
         raise ValueError(f"no such column: {time_column}")
-    found = cutoff_row(df, train_fraction, time_column).first()
+    if isinstance(df.schema[time_column].dataType, (T.LongType, T.FractionalType)):
+        found = _ranked_cutoff(df, train_fraction, time_column)
+    else:
+        found = cutoff_row(df, train_fraction, time_column).first()
     if found is None:
         raise ValueError("nothing to split")
     if found["position"] == 0:
@@ -56,6 +60,17 @@ def split_guards(df: DataFrame, train_fraction: float = 0.8, time_column: str =
     return found[time_column]
 
 
+def _ranked_cutoff(df: DataFrame, fraction: float, time_column: str) -> dict | None:
+    """As ``cutoff_row`` for a fine-grained time column, which may have as many values as rows."""
+    rows = df.where(present(df, time_column).isNotNull()).count()
+    if rows == 0:
+        return None
+    position = int(rows * fraction)
+    value = values_at_ranks(df, {time_column: [position]}, {time_column: rows})[time_column][position]
+    earlier = df.where(F.col(time_column) < value).limit(1).count()
+    return {time_column: value, "position": position, "earlier": earlier}
+
+
 def cutoff_step(df: DataFrame, train_fraction: float = 0.8, time_column: str = "step") -> int:
     """The step at which the test side starts."""
     return split_guards(df, train_fraction, time_column)

@@ -90,6 +90,12 @@ def test_sweep_equals_one_threshold_at_a_time(spark):
         assert sweep[limit] == metrics.evaluate_threshold(df, limit).first()
 
 
+def test_negative_zero_reaches_a_zero_threshold(spark):
+    df = scored(spark, [1, 0, 1], [-0.0, 0.0, -1.0])
+    for row in metrics.threshold_sweep(df, [0.0, 0.5]).collect():
+        assert row == metrics.evaluate_threshold(df, row.threshold).first()
+
+
 def test_threshold_choice_prefers_the_lowest_on_ties(spark):
     sweep = spark.createDataFrame(
         [(0.1, 0.5, 9.0), (0.2, 0.7, 3.0), (0.3, 0.7, 3.0), (0.49, 0.1, 8.0), (0.6, 0.2, 8.0)],

@@ -42,6 +42,16 @@ def test_cutoff_is_the_sorted_value(spark, tx, fraction):
     assert split.cutoff_step(tx, fraction) == ordered[int(len(ordered) * fraction)]
 
 
+def test_fine_grained_time_column(spark):
+    df = spark.range(1_000).select(F.col("id") % 500, (F.col("id") % 500 + 2**40).alias("micros"))
+    train, test, cutoff = split.strict_time_split(df, 0.8, "micros")
+    assert cutoff == 2**40 + 400 and (train.count(), test.count()) == (800, 200)
+    with pytest.raises(ValueError):
+        split.strict_time_split(df.withColumn("micros", F.lit(5).cast("bigint")), 0.8, "micros")
+    with pytest.raises(ValueError):
+        split.strict_time_split(df.limit(0), 0.8, "micros")
+
+
 @pytest.mark.parametrize("fraction", [0.0, 0.29, 0.5, 0.8, 1.0])
 def test_positional_split(spark, fraction):
     df = steps(spark, [1, 2, 2, 2, 2, 2, 2, 3, 3, 4])
