@@ -114,13 +114,18 @@ def safe_features(df: DataFrame, types: Sequence[str] = TRANSACTION_TYPES, keep:
     )
 
 
-def model_features(df: DataFrame, dtype: str = "float", keep: Sequence[str] = ()) -> DataFrame:
-    """The 19 production columns from the stored feature table; ``dtype`` is ``float`` or ``double``."""
+def model_columns(dtype: str = "float") -> dict[str, Column]:
+    """The 19 production inputs by name, in order; ``dtype`` of the numeric ones is ``float`` or ``double``."""
     if dtype not in ("float", "double"):
         raise ValueError(f"dtype must be float or double, not {dtype}")
     derived = {"hour": hour(), "day": day(), "amount_to_orig_balance": amount_to_orig_balance()}
-    numeric = [derived.get(name, F.col(name)).cast(dtype).alias(name) for name in MODEL_NUMERIC]
-    return df.select(*keep, *numeric, *type_one_hot())
+    numeric = {name: derived.get(name, F.col(name)).cast(dtype) for name in MODEL_NUMERIC}
+    return numeric | {f"type_{name}": type_indicator(name) for name in TRANSACTION_TYPES}
+
+
+def model_features(df: DataFrame, dtype: str = "float", keep: Sequence[str] = ()) -> DataFrame:
+    """The production inputs of each row of the stored feature table."""
+    return df.select(*keep, *[column.alias(name) for name, column in model_columns(dtype).items()])
 
 
 def drift_features(df: DataFrame) -> DataFrame:

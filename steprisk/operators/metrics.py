@@ -240,16 +240,16 @@ def threshold_sweep(
     counted = bins.groupBy(F.col("reached").cast("int").alias("reached")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    # Every threshold appears although no score may fall just above it; index 0 is "below all of them".
-    grid = df.sparkSession.createDataFrame(
-        [(0, None), *[(i + 1, limit) for i, limit in enumerate(limits)]], "reached int, threshold double"
+    # Every threshold appears although no score may fall just above it.
+    grid = df.sparkSession.range(1, len(limits) + 1).select(
+        F.col("id").cast("int").alias("reached"), F.lit(0).alias("pos"), F.lit(0).alias("neg")
     )
-    cells = grid.join(F.broadcast(counted), "reached", "left").fillna(0, ["pos", "neg"])
+    cells = counted.unionByName(grid).groupBy("reached").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ascending = Window.orderBy("reached")
     below = ascending.rowsBetween(Window.unboundedPreceding, -1)
     above = ascending.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     counts = cells.select(
-        "threshold",
+        F.get(F.lit(limits), F.col("reached") - 1).alias("threshold"),
         F.coalesce(F.sum("neg").over(below), F.lit(0)).alias("tn"),
         F.sum("neg").over(above).alias("fp"),
         F.coalesce(F.sum("pos").over(below), F.lit(0)).alias("fn"),

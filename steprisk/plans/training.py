@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from steprisk.functions.decisions import classify, risk_level
@@ -20,6 +20,7 @@ from steprisk.functions.rowfeatures import (
     SAFE_NUMERIC,
     leaky_benchmark_features,
     learned_types,
+    model_columns,
     model_features,
     safe_features,
 )
@@ -93,14 +94,21 @@ def fit_classifier(
         rows.unpersist()
 
 
-def score(model: PipelineModel, features: DataFrame, name: str = "score") -> DataFrame:
-    """Input columns plus the fraud probability as a double column."""
-    drop = ["features", "rawPrediction", "probability", "prediction"]
-    return (
-        model.transform(features)
-        .withColumn(name, vector_to_array("probability")[1])
-        .drop(*[column for column in drop if column not in features.columns])
-    )
+def score(
+    model: PipelineModel, features: DataFrame, name: str = "score", inputs: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Input columns plus the fraud probability as a double column.
+
+    ``inputs`` computes the model's inputs by name where the table does not hold them as they are. They get
+    names of their own, so the table's columns stay untouched and unread ones are pruned from the scan.
+    """
+    assembler = model.stages[0]
+    names = list(assembler.getInputCols())
+    table, params = features, {}
+    if inputs is not None:
+        table = features.withColumns({f"_input_{column}": inputs[column] for column in names})
+        params = {assembler.inputCols: [f"_input_{column}" for column in names]}
+    return model.transform(table, params).select(*features.columns, vector_to_array("probability")[1].alias(name))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -117,9 +125,8 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
 
 
 def score_feature_table(model: PipelineModel, table: DataFrame, name: str = "score", dtype: str = "double") -> DataFrame:
-    """Stored feature rows with the model's score; the table's own columns are untouched."""
-    inputs = model_features(table.withColumn("_row", F.struct(*table.columns)), dtype, ["_row"])
-    return score(model, inputs, name).select("_row.*", name)
+    """Stored feature rows with the score of a model on the production inputs."""
+    return score(model, table, name, model_columns(dtype))
 
 
 def score_transactions(

@@ -138,6 +138,12 @@ def test_model_round_trip(spark, champion, features, tmp_path):
         training.load_model(spark, str(tmp_path / "other"))
 
 
+def test_scoring_reads_only_model_inputs(spark, champion, features):
+    scored = training.score_feature_table(champion, features).select("event_id", "score")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "isFraud" not in plan and "orig_prior_amount_sum" not in plan
+
+
 def test_scores_are_probabilities(champion, features):
     scored = training.score_feature_table(champion, features)
     assert scored.columns == [*features.columns, "score"] and scored.count() == features.count()

@@ -62,6 +62,12 @@ def test_ordered_prefix_is_exact_over_many_partitions(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_ordered_prefix_treats_null_as_a_group(spark):
+    df = spark.range(200).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("g"), F.lit(1).alias("v"))
+    got = ordered_prefix(df, [F.col("id")], {"before": "v"}, ["g"]).where("g IS NULL").orderBy("id").collect()
+    assert [r.before for r in got] == list(range(100))
+
+
 def test_ordered_prefix_descending_without_groups(spark):
     df = spark.range(100).select(F.col("id"), F.lit(2).alias("v"))
     got = ordered_prefix(df, [F.col("id").desc()], {"before": "v"}).collect()
