@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single task handles comfortably (sorts and spills included).
 HOT_ROWS = 5_000_000
-# Upper bound on reported heavy keys. A key left out holds at most 1/1024 of all rows.
+# Upper bound on reported heavy keys. A key left out holds at most 1/1024 of all rows: the sketches track enough
+# keys to miss none above about 1/4,600.
 MAX_HOT_KEYS = 1024
-_TRACKED_KEYS = 65_536
+_TRACKED_KEYS = 16_384
 
 PARTS = "_parts"
 SALT = "_salt"

@@ -18,7 +18,7 @@ def write_features(df: DataFrame, path: str, row_key: str = "event_id", global_o
     if global_order:
         df = df.repartitionByRange("step", row_key)
     (
-        df.sortWithinPartitions("step", row_key)
+        df.sortWithinPartitions("step")
         .write.mode("overwrite")
         .option("compression", "zstd")
         .parquet(path)
