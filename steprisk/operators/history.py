@@ -18,9 +18,9 @@ FEATURE_COLUMNS = (
 )
 
 # Rows without a usable key are dealt over this many groups instead of forming one huge NULL group.
-_SPREAD = "_spread"
+SPREAD = "_spread"
 _SPREAD_GROUPS = 65_536
-_UNITS = "_units"
+UNITS = "_units"
 
 
 # --- amounts ---------------------------------------------------------------------------------------------------
@@ -49,13 +49,13 @@ def origin_step_agg(df: DataFrame, amount_scale: int | None = 2) -> DataFrame:
     """Transactions and amount per (step, origin)."""
     return (
         df.groupBy("step", "nameOrig")
-        .agg(F.count(F.lit(1)).alias("step_txn_count"), F.sum(summable("amount", amount_scale)).alias(_UNITS))
+        .agg(F.count(F.lit(1)).alias("step_txn_count"), F.sum(summable("amount", amount_scale)).alias(UNITS))
         .select(
             "step",
             "nameOrig",
             "step_txn_count",
             # an all-NULL step keeps a NULL sum
-            F.when(F.col(_UNITS).isNotNull(), as_amount(F.col(_UNITS), amount_scale)).alias("step_amount_sum"),
+            F.when(F.col(UNITS).isNotNull(), as_amount(F.col(UNITS), amount_scale)).alias("step_amount_sum"),
         )
     )
 
@@ -71,7 +71,7 @@ def origin_history(df: DataFrame, amount_scale: int | None = 2) -> DataFrame:
     A window group holds at most one row per step, however many rows the account has.
     """
     per_step = df.groupBy("step", "nameOrig").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(summable("amount", amount_scale)).alias(_UNITS)
+        F.count(F.lit(1)).alias("_n"), F.sum(summable("amount", amount_scale)).alias(UNITS)
     )
     by_step = Window.partitionBy(*ORIGIN).orderBy(F.col("step").asc_nulls_last())
     before = by_step.rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +79,7 @@ def origin_history(df: DataFrame, amount_scale: int | None = 2) -> DataFrame:
         "step",
         "nameOrig",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("orig_prior_txn_count"),
-        as_amount(F.sum(_UNITS).over(before), amount_scale).alias("orig_prior_amount_sum"),
+        as_amount(F.sum(UNITS).over(before), amount_scale).alias("orig_prior_amount_sum"),
         F.max("step").over(before).alias("orig_previous_step"),
         F.min("step").over(by_step.rowsBetween(Window.unboundedPreceding, 0)).alias("orig_first_step"),
     )
@@ -121,29 +121,29 @@ def attach_pair_history(
 
 
 def _origin_windows(df: DataFrame, row_key: str, amount_scale: int | None) -> DataFrame:
-    by_step = Window.partitionBy(*ORIGIN, _SPREAD).orderBy(F.col("step").asc_nulls_last())
+    by_step = Window.partitionBy(*ORIGIN, SPREAD).orderBy(F.col("step").asc_nulls_last())
     before = by_step.rangeBetween(Window.unboundedPreceding, -1)
     keyed = complete(["step", *ORIGIN])
     return (
-        df.withColumn(_SPREAD, spread_incomplete(["step", *ORIGIN], row_key))
-        .withColumn(_UNITS, summable("amount", amount_scale))
+        df.withColumn(SPREAD, spread_incomplete(["step", *ORIGIN], row_key))
+        .withColumn(UNITS, summable("amount", amount_scale))
         .withColumns(
             {
                 "orig_prior_txn_count": F.when(keyed, F.count(F.lit(1)).over(before)),
-                "orig_prior_amount_sum": F.when(keyed, as_amount(F.sum(_UNITS).over(before), amount_scale)),
+                "orig_prior_amount_sum": F.when(keyed, as_amount(F.sum(UNITS).over(before), amount_scale)),
                 "orig_previous_step": F.when(keyed, F.max("step").over(before)),
                 "orig_first_step": F.when(
                     keyed, F.min("step").over(by_step.rangeBetween(Window.unboundedPreceding, 0))
                 ),
             }
         )
-        .drop(_UNITS)
+        .drop(UNITS)
     )
 
 
 def _pair_windows(df: DataFrame) -> DataFrame:
     before = (
-        Window.partitionBy(*ORIGIN, _SPREAD, "nameDest")
+        Window.partitionBy(*ORIGIN, SPREAD, "nameDest")
         .orderBy(F.col("step").asc_nulls_last())
         .rangeBetween(Window.unboundedPreceding, -1)
     )
@@ -155,7 +155,7 @@ def _pair_windows(df: DataFrame) -> DataFrame:
 
 def direct_history(df: DataFrame, row_key: str = "event_id", amount_scale: int | None = 2) -> DataFrame:
     """All history columns from one exchange on the origin: both windows are satisfied by it."""
-    return _pair_windows(_origin_windows(df, row_key, amount_scale)).drop(_SPREAD)
+    return _pair_windows(_origin_windows(df, row_key, amount_scale)).drop(SPREAD)
 
 
 def grouped_history(

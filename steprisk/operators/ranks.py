@@ -105,19 +105,20 @@ def _cells(df: DataFrame, ranges: Mapping[str, Sequence[tuple[float, float]]]) -
 
 
 def values_at_ranks(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int] | None = None
+    df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int] | None = None, fold: bool = True
 ) -> dict[str, dict[int, float]]:
     """Exact value at each 0-based rank of the sorted non-missing values of each numeric column.
 
     Equal values are counted together before anything is shuffled, and the running count is range-partitioned,
     so neither a dominant value nor a dominant column lands in one task. Only the wanted values are collected.
+    Should a rank lie outside its sketched range, its column is ranked once more with every value kept.
     """
     names = list(ranks)
     whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in names)
     values = df.select(*[_plain(df, name, whole).alias(name) for name in names])
     if sizes is None:
         sizes = values.agg(*[F.count(name).alias(name) for name in names]).first().asDict()
-    cells = _cells(values, _sketched_ranges(values, ranks, sizes))
+    cells = _cells(values, _sketched_ranges(values, ranks, sizes) if fold else {})
     placed = ordered_prefix(cells, [F.col("cell"), F.col("value")], {"before": "rows"}, ["feature"])
     wanted = df.sparkSession.createDataFrame(
         [(name, rank) for name, positions in ranks.items() for rank in sorted(set(positions))],
@@ -131,7 +132,8 @@ def values_at_ranks(
     )
     result: dict[str, dict[int, float]] = {name: {} for name in names}
     for row in found:
-        if row["value"] is None:
-            raise AssertionError(f"rank {row['rank']} of {row['feature']} fell outside its sketched range")
         result[row["feature"]][row["rank"]] = row["value"]
+    missed = {row["feature"]: ranks[row["feature"]] for row in found if row["value"] is None}
+    if missed:
+        result.update(values_at_ranks(df, missed, sizes, fold=False))
     return result

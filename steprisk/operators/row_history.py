@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from steprisk.operators.history import (
-    _SPREAD,
-    _UNITS,
+    SPREAD,
+    UNITS,
     ORIGIN,
     PAIR,
     as_amount,
@@ -23,21 +23,21 @@ _STATE = ("_count", "_total", "_previous", "_first", "_pair_count")
 
 def _direct_state(df: DataFrame, row_key: str) -> DataFrame:
     by_row = [F.col("step"), F.col(row_key)]
-    origin = Window.partitionBy(*ORIGIN, _SPREAD).orderBy(*by_row)
-    pair = Window.partitionBy(*ORIGIN, _SPREAD, "nameDest").orderBy(*by_row)
+    origin = Window.partitionBy(*ORIGIN, SPREAD).orderBy(*by_row)
+    pair = Window.partitionBy(*ORIGIN, SPREAD, "nameDest").orderBy(*by_row)
     before = origin.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        df.withColumn(_SPREAD, spread_incomplete(["step", *ORIGIN], row_key))
+        df.withColumn(SPREAD, spread_incomplete(["step", *ORIGIN], row_key))
         .withColumns(
             {
                 "_count": (F.row_number().over(origin) - 1).cast("bigint"),
-                "_total": F.sum(_UNITS).over(before),
+                "_total": F.sum(UNITS).over(before),
                 "_previous": F.lag("step").over(origin),
                 "_first": F.min("step").over(origin.rowsBetween(Window.unboundedPreceding, 0)),
             }
         )
         .withColumn("_pair_count", (F.row_number().over(pair) - 1).cast("bigint"))
-        .drop(_SPREAD)
+        .drop(SPREAD)
     )
 
 
@@ -46,7 +46,7 @@ def _ranged_state(df: DataFrame, row_key: str) -> DataFrame:
     by_row = [F.col("step"), F.col(row_key)]
     counted = df.withColumn(_ONE, F.lit(1).cast("bigint"))
     with_origin = ordered_prefix(
-        counted, by_row, {"_count": _ONE, "_total": _UNITS}, ORIGIN, {"_previous": "step"}
+        counted, by_row, {"_count": _ONE, "_total": UNITS}, ORIGIN, {"_previous": "step"}
     )
     # Only heavy accounts get here, so this table has at most MAX_HOT_KEYS rows.
     first = df.groupBy(*ORIGIN).agg(F.min("step").alias("_first"))
@@ -63,7 +63,7 @@ def row_history(
     Spark rows have no input order, so ``row_key`` must be a unique, non-NULL ordinal: it breaks ties in step.
     """
     (heavy,) = heavy_keys(df, [ORIGIN], hot_rows)
-    counted = df.withColumn(_UNITS, summable("amount", amount_scale))
+    counted = df.withColumn(UNITS, summable("amount", amount_scale))
     if heavy:
         # Rows without a step belong to no history and stay on the window path.
         hot = is_heavy(ORIGIN, heavy) & F.col("step").isNotNull()
@@ -90,7 +90,7 @@ def row_history(
             }
         )
         .withColumn("dest_seen_before", F.coalesce((F.col("orig_dest_prior_txn_count") > 0).cast("int"), F.lit(0)))
-        .drop(_UNITS, *_STATE)
+        .drop(UNITS, *_STATE)
     )
 
 

@@ -84,6 +84,13 @@ def test_values_at_ranks(spark, monkeypatch, fold_rows):
     assert got == {name: {place: values[name][place] for place in places} for name, places in wanted.items()}
 
 
+def test_ranks_outside_their_sketched_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "_sketched_ranges", lambda *_: {"a": [(3.0, 4.0)], "b": [(0.0, 1e9)]})
+    df = spark.range(100).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("b"))
+    wanted = {"a": [0, 3, 50], "b": [0, 99]}
+    assert ranks.values_at_ranks(df, wanted) == {"a": {0: 0.0, 3: 3.0, 50: 50.0}, "b": {0: 0.0, 99: 198.0}}
+
+
 def test_ranks_of_large_integers(spark, monkeypatch):
     monkeypatch.setattr(ranks, "FOLD_ROWS", 10)
     df = spark.range(5_000).select((F.col("id") + 2**60).alias("k"))
