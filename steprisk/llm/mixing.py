@@ -1,16 +1,17 @@
 """Mixing sources to target weights by systematic sampling. DataFrame functions only.
 
-A document's expected copies are its source's target divided by its source's size, both in words. Documents of a
-source are laid out by size; the expected copies are summed along that order, one random offset per source is added,
-and a document is emitted once for every integer its stretch of the sum crosses. Because the order is by size, the
-words taken stray from the target by about the size of one document, however uneven the sizes are.
+Documents of a source are laid out from the longest to the shortest. Every document has an expected number of copies,
+these are summed along that order, one random offset per source is added, and a document is emitted once for every
+integer its stretch of the sum crosses. The expectation is what is left of the target over what is left of the source,
+both in words, refreshed for every class of sizes: what rounding has done to long documents is made good by shorter
+ones, and a source's words end within about its shortest documents of the target, however uneven the sizes are.
 
-All documents of a source share one expectation, so the prefix sum is rank times expectation. Ranks come from counts:
-sizes within a source, then ``BUCKETS`` hash buckets within a size, then rows within a bucket. No task sees a whole
-source, and no group of equal rows stays in one task.
+There are at most 976 classes of sizes, so a source's walk is over a short array. Places within a class
+come from counts: sizes within a class, ``BUCKETS`` hash buckets within a size, rows within a bucket. No task sees a
+whole source, and no group of equal rows stays in one task.
 
 Defined results: null text counts 0 words; a null source is a source of its own, last in order; a source without
-words has target 0 and is never taken; documents of 0 words in other sources may be emitted (they take 0 words).
+words has target 0 and is never taken; documents of 0 words are never taken.
 Rows with equal or null ``doc_id`` are documents of their own. Columns other than ``doc_id``, ``text`` and ``source``
 play no role. An empty table gives an empty result. The offset comes from a hash of the source, so reruns agree.
 """
@@ -74,41 +75,103 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     )
 
 
+def size_class(size: Column) -> Column:
+    """Classes rise with the size: sizes below 64 one by one, above that 16 to every doubling (at most 976)."""
+    doubling = F.length(F.bin(size)) - 1
+    within = F.floor(size / F.pow(F.lit(2.0), doubling - 4)) - 16
+    return F.when(size < 64, size).otherwise(64 + (doubling - 6) * 16 + within).cast("int")
+
+
+def _walk(classes: Column, target: Column, total: Column, offset: Column, most: int) -> Column:
+    """For (class, rows, words) from the longest class on: (class, expected copies, sum of expectations before)."""
+    start = F.struct(
+        target.alias("target"),
+        total.cast("double").alias("words"),
+        F.lit(0.0).alias("sum"),
+        F.array().cast("array<struct<class:int,expected:double,before:double>>").alias("steps"),
+    )
+
+    def step(state: Column, item: Column) -> Column:
+        wanted = F.when(state["words"] > 0, state["target"] / state["words"]).otherwise(F.lit(0.0))
+        expected = F.when(item["words"] > 0, F.least(F.lit(float(most)), F.greatest(F.lit(0.0), wanted))).otherwise(0.0)
+        after = state["sum"] + item["rows"] * expected
+        taken = (F.floor(after + offset) - F.floor(state["sum"] + offset)) * item["words"] / item["rows"]
+        here = F.struct(item["class"].alias("class"), expected.alias("expected"), state["sum"].alias("before"))
+        return F.struct(
+            (state["target"] - taken).alias("target"),
+            (state["words"] - item["words"]).alias("words"),
+            after.alias("sum"),
+            F.concat(state["steps"], F.array(here)).alias("steps"),
+        )
+
+    return F.aggregate(classes, start, step, lambda state: state["steps"])
+
+
 def copies(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """``sized`` (``source``, ``size``, ``tie``: a hash that tells documents apart, and others) with ``source_size``,
     ``target`` and ``copies``. ``sized`` is read several times: hand over a written table."""
     tie = F.pmod(F.xxhash64("tie", F.lit(seed)), F.lit(BUCKETS)).cast("int")
-    keyed = sized.withColumns({_SOURCE: _source_key(), "_bucket": tie})
-    cells = keyed.groupBy(_SOURCE, "size", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    # Ranks of the rows before: by size within the source, then by bucket within the size.
-    by_size = Window.partitionBy(_SOURCE).orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    by_bucket = Window.partitionBy(_SOURCE, "size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes_before = (
-        cells.groupBy(_SOURCE, "size")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(_SOURCE, "size", F.coalesce(F.sum("_rows").over(by_size), F.lit(0)).alias("_smaller"))
+    keyed = sized.withColumns({_SOURCE: _source_key(), "_class": size_class(F.col("size")), "_bucket": tie})
+    cell = [_SOURCE, "_class", "size", "_bucket"]
+    cells = keyed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
+    by_size = cells.groupBy(_SOURCE, "_class", "size").agg(F.sum("_rows").alias("_rows"))
+
+    # Rows before a cell within its class: longer sizes, then earlier buckets of the same size.
+    longer = Window.partitionBy(_SOURCE, "_class").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(_SOURCE, "_class", "size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    longer_rows = by_size.select(
+        _SOURCE, "_class", "size", F.coalesce(F.sum("_rows").over(longer), F.lit(0)).alias("_longer")
+    )
+    starts = (
+        cells.withColumn("_earlier", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .join(longer_rows, [_SOURCE, "_class", "size"])
+        .select(*cell, (F.col("_longer") + F.col("_earlier")).alias("_start"))
     )
-    starts = cells.withColumn("_earlier", F.coalesce(F.sum("_rows").over(by_bucket), F.lit(0))).join(
-        sizes_before, [_SOURCE, "size"]
-    ).select(_SOURCE, "size", "_bucket", (F.col("_smaller") + F.col("_earlier")).alias("_start"))
 
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(totals, weights, most).select(_source_key().alias(_SOURCE), "source_size", "target")
-
-    in_cell = Window.partitionBy(_SOURCE, "size", "_bucket").orderBy("tie")
-    ranked = keyed.withColumn("_place", F.row_number().over(in_cell)).join(starts, [_SOURCE, "size", "_bucket"])
-    rank = F.col("_start") + F.col("_place")
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    classes = (
+        by_size.groupBy(_SOURCE, "_class")
+        .agg(F.sum("_rows").alias("_rows"), F.sum(F.col("_rows") * F.col("size")).alias("_words"))
+        .groupBy(_SOURCE)
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct(F.col("_class").alias("class"), F.col("_rows").alias("rows"), F.col("_words").alias("words"))),
+                asc=False,
+            ).alias("_classes")
+        )
+    )
     draw = F.pmod(F.xxhash64(_SOURCE, F.lit(seed)), F.lit(_OFFSET_STEPS))
     offset = (draw + F.lit(0.5)) / F.lit(float(_OFFSET_STEPS))
-    crossed = F.floor(rank * F.col("_expected") + offset) - F.floor((rank - 1) * F.col("_expected") + offset)
-    return (
-        ranked.join(targets, _SOURCE)
-        .withColumn("_expected", expected)
-        .withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(most), crossed)).cast("int"))
-        .select(*sized.columns, "source_size", "target", "copies")
+    steps = (
+        classes.join(targets, _SOURCE)
+        .withColumn("_offset", offset)
+        .select(
+            _SOURCE,
+            "source_size",
+            "target",
+            "_offset",
+            F.explode(_walk(F.col("_classes"), F.col("target"), F.col("source_size"), F.col("_offset"), most)).alias("_step"),
+        )
+        .select(
+            _SOURCE,
+            F.col("_step.class").alias("_class"),
+            "source_size",
+            "target",
+            "_offset",
+            F.col("_step.expected").alias("_expected"),
+            F.col("_step.before").alias("_before"),
+        )
     )
 
+    places = starts.join(steps, [_SOURCE, "_class"])
+    in_cell = Window.partitionBy(*cell).orderBy("tie")
+    ranked = keyed.withColumn("_place", F.row_number().over(in_cell)).join(places, cell)
+    rank = F.col("_start") + F.col("_place")
+    upto = lambda place: F.floor(F.col("_before") + place * F.col("_expected") + F.col("_offset"))
+    crossed = F.greatest(F.lit(0), F.least(F.lit(most), upto(rank) - upto(rank - 1)))
+    return ranked.select(*sized.columns, "source_size", "target", crossed.cast("int").alias("copies"))
+
 
 def sized_documents(docs: DataFrame) -> DataFrame:
     return docs.select(
