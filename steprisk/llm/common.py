@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import numpy as np
@@ -15,7 +16,16 @@ from steprisk.session import shared_folder
 WORD = "[^ \\t-\\r]+"
 
 
+def _findable(spark: SparkSession) -> None:
+    """Lets Python workers import this package when the driver runs from its source folder."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    places = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in places.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, places]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    _findable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from steprisk.llm.common import table
 from steprisk.llm.langid import op9_language_id
 from steprisk.llm.mixing import op3_mixing
+from steprisk.llm.packing import op2_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_packing": _over("documents", op2_packing),
     "op3_mixing": _over("documents", op3_mixing),
     "op9_language_id": _over("documents", op9_language_id),
 }
