@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from steprisk.llm.ann import op1_ann
+from steprisk.llm.chat import op5_chat_format
 from steprisk.llm.common import table
 from steprisk.llm.langid import op9_language_id
 from steprisk.llm.mixing import op3_mixing
@@ -19,8 +21,10 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ann": _over("embeddings", op1_ann),
     "op2_packing": _over("documents", op2_packing),
     "op3_mixing": _over("documents", op3_mixing),
+    "op5_chat_format": _over("conversations", op5_chat_format),
     "op9_language_id": _over("documents", op9_language_id),
 }
 
