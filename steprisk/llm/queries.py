@@ -10,6 +10,7 @@ from steprisk.llm.ann import op1_ann
 from steprisk.llm.chat import op5_chat_format
 from steprisk.llm.common import table
 from steprisk.llm.langid import op9_language_id
+from steprisk.llm.minhash import op6_minhash
 from steprisk.llm.mixing import op3_mixing
 from steprisk.llm.packing import op2_packing
 
@@ -25,6 +26,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": _over("documents", op2_packing),
     "op3_mixing": _over("documents", op3_mixing),
     "op5_chat_format": _over("conversations", op5_chat_format),
+    "op6_minhash": _over("documents", op6_minhash),
     "op9_language_id": _over("documents", op9_language_id),
 }
 
