@@ -13,6 +13,7 @@ from steprisk.llm.langid import op9_language_id
 from steprisk.llm.minhash import op6_minhash
 from steprisk.llm.mixing import op3_mixing
 from steprisk.llm.packing import op2_packing
+from steprisk.llm.pii import op10_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "op5_chat_format": _over("conversations", op5_chat_format),
     "op6_minhash": _over("documents", op6_minhash),
     "op9_language_id": _over("documents", op9_language_id),
+    "op10_pii": _over("documents", op10_pii),
 }
 
 ORACLES: dict[str, str] = {}
