@@ -14,6 +14,7 @@ from steprisk.llm.minhash import op6_minhash
 from steprisk.llm.mixing import op3_mixing
 from steprisk.llm.packing import op2_packing
 from steprisk.llm.pii import op10_pii
+from steprisk.llm.quality_rules import op4_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op1_ann": _over("embeddings", op1_ann),
     "op2_packing": _over("documents", op2_packing),
     "op3_mixing": _over("documents", op3_mixing),
+    "op4_quality_rules": _over("documents", op4_quality_rules),
     "op5_chat_format": _over("conversations", op5_chat_format),
     "op6_minhash": _over("documents", op6_minhash),
     "op9_language_id": _over("documents", op9_language_id),
