@@ -29,11 +29,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below ``spark.checkpoint.dir``."""
+    return f"{shared_folder(spark)}/steprisk-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back: cuts the lineage, survives executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/steprisk-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    path = shared_path(spark, name)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,6 +15,7 @@ from steprisk.llm.mixing import op3_mixing
 from steprisk.llm.packing import op2_packing
 from steprisk.llm.pii import op10_pii
 from steprisk.llm.quality_rules import op4_quality_rules
+from steprisk.llm.shards import op8_training_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": _over("documents", op4_quality_rules),
     "op5_chat_format": _over("conversations", op5_chat_format),
     "op6_minhash": _over("documents", op6_minhash),
+    "op8_training_order": _over("documents", op8_training_order),
     "op9_language_id": _over("documents", op9_language_id),
     "op10_pii": _over("documents", op10_pii),
 }
