@@ -13,6 +13,7 @@ from steprisk.llm.langid import op9_language_id
 from steprisk.llm.minhash import op6_minhash
 from steprisk.llm.mixing import op3_mixing
 from steprisk.llm.packing import op2_packing
+from steprisk.llm.passages import op7_passages
 from steprisk.llm.pii import op10_pii
 from steprisk.llm.quality_rules import op4_quality_rules
 from steprisk.llm.shards import op8_training_order
@@ -31,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": _over("documents", op4_quality_rules),
     "op5_chat_format": _over("conversations", op5_chat_format),
     "op6_minhash": _over("documents", op6_minhash),
+    "op7_passages": _over("documents", op7_passages),
     "op8_training_order": _over("documents", op8_training_order),
     "op9_language_id": _over("documents", op9_language_id),
     "op10_pii": _over("documents", op10_pii),
