@@ -95,7 +95,7 @@ def retrain(spark: SparkSession, args: argparse.Namespace) -> None:
         args.model,
         boosting=Boosting(rounds=args.rounds),
     )
-    if report is None:
+    if report.isEmpty():
         print("retraining not recommended")
     else:
         write_report(report, args.report)

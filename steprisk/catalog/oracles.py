@@ -39,7 +39,7 @@ def earlier(name: str, condition: str) -> str:
     return f"""{name} AS (
   SELECT t.event_id,
     count(h.event_id) AS n,
-    CAST(coalesce(sum(CAST(h.amount AS DECIMAL(18,2))), 0) AS DOUBLE) AS total,
+    CAST(coalesce(sum(CAST(h.amount AS DECIMAL(28,6))), 0) AS DOUBLE) AS total,
     max(h.step) AS previous,
     least(t.step, coalesce(min(h.step), t.step)) AS first,
     CAST(count(h.event_id) FILTER (WHERE h.nameDest = t.nameDest) AS BIGINT) AS pair_n
@@ -234,6 +234,7 @@ ORACLES["attach_origin_history"] = history(
 )
 ORACLES["attach_pair_history"] = history(["orig_dest_prior_txn_count"])
 ORACLES["behavioral_features"] = ORACLES["behavioral_features_grouped"] = ORACLES["write_features"]
+ORACLES["behavioral_features_hot"] = ORACLES["write_features"]
 
 ROW_NAMES = {
     "row_prior_txn_count": "orig_prior_txn_count",
@@ -247,7 +248,7 @@ ROW_NAMES = {
 }
 for _name, _column in ROW_NAMES.items():
     ORACLES[_name] = history([_column], ROW_HISTORY)
-ORACLES["row_behavioral_features"] = history([*RAW, *STORED], ROW_HISTORY)
+ORACLES["row_behavioral_features"] = ORACLES["row_behavioral_features_hot"] = history([*RAW, *STORED], ROW_HISTORY)
 
 # --- splits ------------------------------------------------------------------------------------------------------
 
@@ -266,7 +267,7 @@ ORACLES["split_guards"] = f"""WITH {TX}, {cut(0.9)}
 SELECT CASE WHEN step < cutoff THEN 'train' ELSE 'test' END AS split, count(*) AS rows, min(step) AS first,
   max(step) AS last, any_value(cutoff) AS cutoff_step FROM tx, cut GROUP BY 1"""
 ORACLES["positional_split"] = from_tx(
-    """SELECT event_id, CASE WHEN row_number() OVER (ORDER BY step, event_id) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE))
+    """SELECT event_id, CASE WHEN row_number() OVER (ORDER BY event_id) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE))
   THEN 'train' ELSE 'test' END AS split FROM tx"""
 )
 ORACLES["fixed_windows"] = from_tx(

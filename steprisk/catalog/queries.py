@@ -406,6 +406,20 @@ def row_behavioral_features(spark: SparkSession, folder: str) -> DataFrame:
     return row_history(transactions(spark, folder))
 
 
+# A limit this low sends most accounts down the plan for hot ones.
+LOW_HOT_ROWS = 12
+
+
+@register
+def row_behavioral_features_hot(spark: SparkSession, folder: str) -> DataFrame:
+    return row_history(transactions(spark, folder), hot_rows=LOW_HOT_ROWS)
+
+
+@register
+def behavioral_features_hot(spark: SparkSession, folder: str) -> DataFrame:
+    return history.behavioral_features(transactions(spark, folder), hot_rows=LOW_HOT_ROWS)
+
+
 # --- splits ------------------------------------------------------------------------------------------------------
 
 

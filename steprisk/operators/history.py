@@ -26,14 +26,35 @@ UNITS = "_units"
 # --- amounts ---------------------------------------------------------------------------------------------------
 
 
-def summable(amount: str, scale: int | None) -> Column:
-    """Amount in integer units of ``10**-scale``: sums do not depend on row order. ``None`` keeps doubles."""
-    return F.col(amount) if scale is None else F.rint(F.col(amount) * 10**scale).cast("bigint")
+# Column names of an amount made ready for sums.
+ROUGH, PLAIN = "_rough", "_plain"
+_EXACT_UNITS = float(2**33)
 
 
-def as_amount(total: Column, scale: int | None) -> Column:
-    """Back from integer units to a double; 0.0 where there is nothing to sum."""
-    return F.coalesce(total if scale is None else total / F.lit(float(10**scale)), F.lit(0.0))
+def summable(amount: str, scale: int | None) -> dict[str, Column]:
+    """Columns whose sums ``as_amount`` turns back into a sum of amounts.
+
+    An amount that is a whole number of units of ``10**-scale`` is counted in units, as a whole number; any other (finer,
+    huge, not finite) is marked as rough. The plain double is there for both. No amount is rounded. ``None``: all rough.
+    """
+    plain = F.col(amount).cast("double")
+    if scale is None:
+        exact = plain.isNull()
+        units = F.lit(None).cast("bigint")
+    else:
+        near = F.rint(plain * 10**scale)
+        exact = plain.isNull() | ((F.abs(near) <= _EXACT_UNITS) & (near / F.lit(float(10**scale)) == plain))
+        units = F.when(exact, near).cast("bigint")
+    return {UNITS: units, ROUGH: F.when(exact, 0).otherwise(1), PLAIN: plain}
+
+
+def as_amount(units: Column, rough: Column, plain: Column, scale: int | None) -> Column:
+    """Sum of amounts; 0.0 where there is nothing to sum.
+
+    Sums of whole units do not depend on the order in which tasks finish; with a rough amount among them, the doubles are summed.
+    """
+    exact = F.lit(0.0) if scale is None else units / F.lit(float(10**scale))
+    return F.coalesce(F.when(rough > 0, plain).otherwise(exact), F.lit(0.0))
 
 
 def spread_incomplete(keys: list[str], row_key: str) -> Column:
@@ -45,18 +66,22 @@ def spread_incomplete(keys: list[str], row_key: str) -> Column:
 # --- grouped form: one row per key and step ---------------------------------------------------------------------
 
 
+def _step_sums(df: DataFrame, amount_scale: int | None) -> DataFrame:
+    ready = summable("amount", amount_scale)
+    return df.groupBy("step", "nameOrig").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(column).alias(name) for name, column in ready.items()]
+    )
+
+
 def origin_step_agg(df: DataFrame, amount_scale: int | None = 2) -> DataFrame:
     """Transactions and amount per (step, origin)."""
-    return (
-        df.groupBy("step", "nameOrig")
-        .agg(F.count(F.lit(1)).alias("step_txn_count"), F.sum(summable("amount", amount_scale)).alias(UNITS))
-        .select(
-            "step",
-            "nameOrig",
-            "step_txn_count",
-            # an all-NULL step keeps a NULL sum
-            F.when(F.col(UNITS).isNotNull(), as_amount(F.col(UNITS), amount_scale)).alias("step_amount_sum"),
-        )
+    total = as_amount(F.col(UNITS), F.col(ROUGH), F.col(PLAIN), amount_scale)
+    return _step_sums(df, amount_scale).select(
+        "step",
+        "nameOrig",
+        F.col("_n").alias("step_txn_count"),
+        # an all-NULL step keeps a NULL sum
+        F.when(F.col(PLAIN).isNotNull(), total).alias("step_amount_sum"),
     )
 
 
@@ -65,21 +90,23 @@ def pair_step_agg(df: DataFrame) -> DataFrame:
     return df.groupBy("step", "nameOrig", "nameDest").agg(F.count(F.lit(1)).alias("pair_step_txn_count"))
 
 
+def _total_over(window, amount_scale: int | None) -> Column:
+    return as_amount(*[F.sum(name).over(window) for name in (UNITS, ROUGH, PLAIN)], amount_scale)
+
+
 def origin_history(df: DataFrame, amount_scale: int | None = 2) -> DataFrame:
     """One row per (step, origin): totals of earlier steps, previous step, first step.
 
     A window group holds at most one row per step, however many rows the account has.
     """
-    per_step = df.groupBy("step", "nameOrig").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(summable("amount", amount_scale)).alias(UNITS)
-    )
+    per_step = _step_sums(df, amount_scale)
     by_step = Window.partitionBy(*ORIGIN).orderBy(F.col("step").asc_nulls_last())
     before = by_step.rowsBetween(Window.unboundedPreceding, -1)
     return per_step.select(
         "step",
         "nameOrig",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("orig_prior_txn_count"),
-        as_amount(F.sum(UNITS).over(before), amount_scale).alias("orig_prior_amount_sum"),
+        _total_over(before, amount_scale).alias("orig_prior_amount_sum"),
         F.max("step").over(before).alias("orig_previous_step"),
         F.min("step").over(by_step.rowsBetween(Window.unboundedPreceding, 0)).alias("orig_first_step"),
     )
@@ -126,18 +153,18 @@ def _origin_windows(df: DataFrame, row_key: str, amount_scale: int | None) -> Da
     keyed = complete(["step", *ORIGIN])
     return (
         df.withColumn(SPREAD, spread_incomplete(["step", *ORIGIN], row_key))
-        .withColumn(UNITS, summable("amount", amount_scale))
+        .withColumns(summable("amount", amount_scale))
         .withColumns(
             {
                 "orig_prior_txn_count": F.when(keyed, F.count(F.lit(1)).over(before)),
-                "orig_prior_amount_sum": F.when(keyed, as_amount(F.sum(UNITS).over(before), amount_scale)),
+                "orig_prior_amount_sum": F.when(keyed, _total_over(before, amount_scale)),
                 "orig_previous_step": F.when(keyed, F.max("step").over(before)),
                 "orig_first_step": F.when(
                     keyed, F.min("step").over(by_step.rangeBetween(Window.unboundedPreceding, 0))
                 ),
             }
         )
-        .drop(UNITS)
+        .drop(UNITS, ROUGH, PLAIN)
     )
 
 

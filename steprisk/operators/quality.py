@@ -30,8 +30,8 @@ def invalid_targets(df: DataFrame, label: str = "isFraud") -> DataFrame:
 
 
 def validate_target(df: DataFrame, label: str = "isFraud") -> DataFrame:
-    """The table itself, or an error with (up to 20 of) the invalid label values."""
-    wrong = sorted(row[0] for row in invalid_targets(df, label).limit(20).collect())
+    """The table itself, or an error with all invalid label values."""
+    wrong = sorted(row[0] for row in invalid_targets(df, label).collect())
     if wrong:
         raise ValueError(f"invalid {label} values: {wrong}")
     return df
@@ -87,29 +87,43 @@ def class_balance(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
-# A report row lists every type; a column with more values than this is not a transaction type.
-MAX_TYPES = 10_000
-
-
 def quality_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One nested row: class balance, duplicates, missing values per column and rows per type.
 
-    Only the per-metric results (a row per column, a row per type) are gathered.
+    Two scans: one aggregate per type gives balance, missing values and types, the other one counts duplicates.
+    Nothing is gathered on the driver.
     """
     columns = list(columns or df.columns)
     table = df.select(*columns)
     validate_schema(table)
-    types = type_counts(table).limit(MAX_TYPES + 1).collect()
-    if len(types) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} transaction types do not fit one report")
-    balance = class_balance(table).first().asDict()
-    report = {
-        **balance,
-        "duplicate_rows": duplicate_row_count(table).first()["duplicate_rows"],
-        "missing_values": {row["column"]: row["missing"] for row in null_counts(table).collect()},
-        "transaction_types": {row["type"]: row["rows"] for row in types},
-    }
-    return df.sparkSession.createDataFrame([report], QUALITY_REPORT)
+    per_type = table.groupBy(F.col("type").alias("_type")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum("isFraud").alias("_fraud"),
+        *[F.count_if(_absent(field)).alias(f"_absent{place}") for place, field in enumerate(table.schema)],
+    )
+    missing = [
+        F.struct(F.lit(name).alias("key"), F.coalesce(F.sum(f"_absent{place}"), F.lit(0)).alias("value"))
+        for place, name in enumerate(columns)
+    ]
+    frequent_first = F.array_sort(
+        F.collect_list(F.when(F.col("_type").isNotNull(), F.struct((-F.col("_rows")).alias("n"), F.col("_type").alias("type"))))
+    )
+    counted = per_type.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("_fraud"), F.lit(0)).alias("fraud_transactions"),
+        F.map_from_entries(F.array(*missing)).alias("missing_values"),
+        F.map_from_entries(F.transform(frequent_first, lambda t: F.struct(t["type"], -t["n"]))).alias("transaction_types"),
+    )
+    return counted.crossJoin(duplicate_row_count(table)).select(  # one row beside one row
+        "rows",
+        F.lit(len(columns)).alias("columns"),
+        "fraud_transactions",
+        (F.col("rows") - F.col("fraud_transactions")).alias("legitimate_transactions"),
+        F.try_divide("fraud_transactions", "rows").alias("fraud_rate"),
+        "duplicate_rows",
+        "missing_values",
+        "transaction_types",
+    ).to(QUALITY_REPORT)
 
 
 QUALITY_REPORT = T.StructType(

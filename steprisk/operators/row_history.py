@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from steprisk.operators.history import (
-    SPREAD,
-    UNITS,
     ORIGIN,
     PAIR,
+    PLAIN,
+    ROUGH,
+    SPREAD,
+    UNITS,
     as_amount,
     spread_incomplete,
     summable,
@@ -18,7 +20,8 @@ from steprisk.operators.prefix import ordered_prefix
 from steprisk.operators.skew import HOT_ROWS, complete, heavy_keys, is_heavy
 
 _ONE = "_one"
-_STATE = ("_count", "_total", "_previous", "_first", "_pair_count")
+_TOTALS = {f"_total{name}": name for name in (UNITS, ROUGH, PLAIN)}
+_STATE = ("_count", *_TOTALS, "_previous", "_first", "_pair_count")
 
 
 def _direct_state(df: DataFrame, row_key: str) -> DataFrame:
@@ -31,7 +34,7 @@ def _direct_state(df: DataFrame, row_key: str) -> DataFrame:
         .withColumns(
             {
                 "_count": (F.row_number().over(origin) - 1).cast("bigint"),
-                "_total": F.sum(UNITS).over(before),
+                **{out: F.sum(name).over(before) for out, name in _TOTALS.items()},
                 "_previous": F.lag("step").over(origin),
                 "_first": F.min("step").over(origin.rowsBetween(Window.unboundedPreceding, 0)),
             }
@@ -46,12 +49,12 @@ def _ranged_state(df: DataFrame, row_key: str) -> DataFrame:
     by_row = [F.col("step"), F.col(row_key)]
     counted = df.withColumn(_ONE, F.lit(1).cast("bigint"))
     with_origin = ordered_prefix(
-        counted, by_row, {"_count": _ONE, "_total": UNITS}, ORIGIN, {"_previous": "step"}
+        counted, by_row, {"_count": _ONE, **_TOTALS}, ORIGIN, {"_previous": "step"}
     )
-    # Only heavy accounts get here, so this table has at most MAX_HOT_KEYS rows.
+    # Only heavy accounts get here: one row per ``hot_rows`` rows of input at most.
     first = df.groupBy(*ORIGIN).agg(F.min("step").alias("_first"))
     return ordered_prefix(
-        with_origin.join(F.broadcast(first), ORIGIN, "left"), by_row, {"_pair_count": _ONE}, PAIR
+        with_origin.join(first, ORIGIN, "left"), by_row, {"_pair_count": _ONE}, PAIR
     ).drop(_ONE)
 
 
@@ -63,7 +66,7 @@ def row_history(
     Spark rows have no input order, so ``row_key`` must be a unique, non-NULL ordinal: it breaks ties in step.
     """
     (heavy,) = heavy_keys(df, [ORIGIN], hot_rows)
-    counted = df.withColumn(UNITS, summable("amount", amount_scale))
+    counted = df.withColumns(summable("amount", amount_scale))
     if heavy:
         # Rows without a step belong to no history and stay on the window path.
         hot = is_heavy(ORIGIN, heavy) & F.col("step").isNotNull()
@@ -77,7 +80,7 @@ def row_history(
         state.withColumns(
             {
                 "orig_prior_txn_count": F.when(keyed, F.col("_count")),
-                "orig_prior_amount_sum": F.when(keyed, as_amount(F.col("_total"), amount_scale)),
+                "orig_prior_amount_sum": F.when(keyed, as_amount(*[F.col(out) for out in _TOTALS], amount_scale)),
             }
         )
         .withColumn("orig_prior_amount_mean", row_prior_amount_mean())
@@ -90,7 +93,7 @@ def row_history(
             }
         )
         .withColumn("dest_seen_before", F.coalesce((F.col("orig_dest_prior_txn_count") > 0).cast("int"), F.lit(0)))
-        .drop(UNITS, *_STATE)
+        .drop(UNITS, ROUGH, PLAIN, *_STATE)
     )
 
 

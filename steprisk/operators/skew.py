@@ -1,7 +1,7 @@
 """Finding heavy keys cheaply, and joining on them without a straggler task.
 
 A key tuple is identified by its ``xxhash64``. Treating a key as heavy only changes the physical plan, never
-the result, so neither hash collisions nor sketch estimates can make an answer wrong.
+the result, so hash collisions cannot make an answer wrong. Counts are exact: no heavy key is missed, however many there are.
 """
 
 from __future__ import annotations
@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single task handles comfortably (sorts and spills included).
 HOT_ROWS = 5_000_000
-# Upper bound on reported heavy keys. A key left out holds at most 1/1024 of all rows: the sketches track enough
-# keys to miss none above about 1/4,600.
-MAX_HOT_KEYS = 1024
-_TRACKED_KEYS = 16_384
+
+# A list of heavy keys up to this long is broadcast (16 MB); a longer one is joined as Spark sees fit.
+BROADCAST_KEYS = 1_000_000
 
 PARTS = "_parts"
 SALT = "_salt"
@@ -40,27 +39,17 @@ def heavy_keys(
 ) -> list[dict[int, int]]:
     """For each key set, ``{key hash: rows}`` of the keys with at least ``hot_rows`` rows.
 
-    One column-pruned scan with frequent-item sketches: map-side state is bounded, nothing is shuffled by key,
-    and at most ``MAX_HOT_KEYS`` entries per key set reach the driver.
+    One column-pruned scan counts the hashes of all key sets; partial counts keep a heavy key's shuffle small. What reaches
+    the driver is bounded by rows / ``hot_rows`` entries per key set: 200,000 of 16 bytes for 10**12 rows.
     """
-    names = [f"k{number}" for number in range(len(key_sets))]
     hashed = df.select(
-        *[
-            F.when(complete(keys), key_hash(keys)).alias(name)
-            for name, keys in zip(names, key_sets)
-        ]
+        F.posexplode(F.array(*[F.when(complete(keys), key_hash(keys)) for keys in key_sets])).alias("_set", _HASH)
     )
-    found = hashed.agg(
-        *[F.expr(f"approx_top_k({name}, {MAX_HOT_KEYS}, {_TRACKED_KEYS})").alias(name) for name in names]
-    ).first()
-    return [
-        {
-            item["item"]: item["count"]
-            for item in found[name] or []
-            if item["item"] is not None and item["count"] >= hot_rows
-        }
-        for name in names
-    ]
+    counts = hashed.where(F.col(_HASH).isNotNull()).groupBy("_set", _HASH).agg(F.count(F.lit(1)).alias("rows"))
+    found: list[dict[int, int]] = [{} for _ in key_sets]
+    for row in counts.where(F.col("rows") >= hot_rows).collect():
+        found[row["_set"]][row[_HASH]] = row["rows"]
+    return found
 
 
 def is_heavy(keys: Sequence[str], heavy: dict[int, int]) -> Column:
@@ -69,7 +58,7 @@ def is_heavy(keys: Sequence[str], heavy: dict[int, int]) -> Column:
 
 
 def heavy_parts(spark: SparkSession, heavy: dict[int, int], hot_rows: int) -> DataFrame:
-    """(hash, number of pieces) table, at most ``MAX_HOT_KEYS`` rows: safe to broadcast."""
+    """(hash, number of pieces) table: a row per heavy key."""
     rows = [(key, -(-count // hot_rows)) for key, count in heavy.items()]
     return spark.createDataFrame(rows, f"{_HASH} bigint, {PARTS} bigint")
 
@@ -92,7 +81,9 @@ def skew_left_join(
     deal = F.xxhash64(row_key)
     unmatched = -1 - F.pmod(deal, F.lit(_NULL_SALTS))
     if heavy:
-        parts = F.broadcast(heavy_parts(left.sparkSession, heavy, hot_rows))
+        parts = heavy_parts(left.sparkSession, heavy, hot_rows)
+        if len(heavy) <= BROADCAST_KEYS:
+            parts = F.broadcast(parts)
         left = left.withColumn(_HASH, key_hash(keys)).join(parts, _HASH, "left").drop(_HASH)
         right = right.withColumn(_HASH, key_hash(keys)).join(parts, _HASH, "left").drop(_HASH)
         matched = F.coalesce(F.pmod(deal, F.col(PARTS)), F.lit(0))

@@ -94,18 +94,19 @@ def strict_time_split(
 def positional_split(
     df: DataFrame, train_fraction: float = 0.8, row_key: str = "event_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """First ``int(rows * fraction)`` rows in (step, row key) order, and the rest; a step may be cut in two.
+    """First ``int(rows * fraction)`` rows in order of the row key, and all others; a step may be cut in two.
 
-    The boundary row is found from the step histogram and then, within its step only, by exact rank
-    selection on the row key; both sides are plain filters. ``row_key`` must be a unique number.
+    The order is that of the table, which the row key stands for; steps play no role, so rows without one are in it too.
+    The boundary is found by exact rank selection on the row key; both sides are plain filters. ``row_key`` must be a
+    unique number; rows without one come last.
     """
-    found = cutoff_row(df, train_fraction).first()
-    if found is None:
-        return df, df.where(F.lit(False))
-    rank = found["position"] - found["earlier"]
-    same_step = df.where(F.col("step") == found["step"])
-    key = values_at_ranks(same_step, {row_key: [rank]}, {row_key: found["rows"]})[row_key][rank]
-    first = (F.col("step") < found["step"]) | ((F.col("step") == found["step"]) & (F.col(row_key) < key))
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count(row_key).alias("keyed")).first()
+    rank = int(counts["rows"] * train_fraction)
+    if rank >= counts["keyed"]:
+        first = F.col(row_key).isNotNull()
+    else:
+        key = values_at_ranks(df, {row_key: [rank]}, {row_key: counts["keyed"]})[row_key][rank]
+        first = F.coalesce(F.col(row_key) < key, F.lit(False))
     return df.where(first), df.where(~first)
 
 

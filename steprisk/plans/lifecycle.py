@@ -65,15 +65,15 @@ def lifecycle_report(
     threshold: float = DECISION_THRESHOLD,
     row_key: str = "event_id",
     boosting: Boosting = Boosting(),
-) -> DataFrame | None:
-    """Lifecycle report row, or ``None`` when the drift report does not call for retraining.
+) -> DataFrame:
+    """Lifecycle report row; no row when the drift report does not call for retraining.
 
     The challenger is fitted on the history before ``cutoff``, saved beside the champion and never promoted.
     """
     spark = table.sparkSession
     trigger = retraining_trigger(report).first()
     if not trigger["retraining_recommended"]:
-        return None
+        return spark.createDataFrame([], LIFECYCLE_REPORT)
     candidate = train_challenger(table, cutoff, row_key, boosting)
     save_model(candidate, candidate_path)
     later = table.where(F.col("step") >= cutoff)

@@ -147,6 +147,24 @@ def test_plain_double_sums(spark, tx):
     assert scaled.join(plain, "event_id").where(F.abs(F.col("a") - F.col("b")) > 1e-6).isEmpty()
 
 
+@pytest.mark.parametrize("plan", ["direct", "grouped", "rows", "hot rows"])
+def test_no_amount_is_rounded(spark, plan):
+    """Fine, huge and non-finite amounts are summed as they are, beside exact sums of whole cents."""
+    nan = float("nan")
+    amounts = {"F": [0.004] * 4, "H": [1e18, 1.0, 2.0], "N": [nan, 1.0, 1.0], "C": [0.1, 0.2, 0.3, 0.4]}
+    df = table(spark, [(n + 1, orig, "M", a) for orig, values in amounts.items() for n, a in enumerate(values)])
+    if plan in ("direct", "grouped"):
+        found = history.step_history(df, plan=plan)
+    else:
+        found = row_history(df, hot_rows=2 if plan == "hot rows" else 100)
+    got = {}
+    for row in found.orderBy("step").collect():
+        got.setdefault(row["nameOrig"], []).append(row["orig_prior_amount_sum"])
+    assert got["F"] == pytest.approx([0.0, 0.004, 0.008, 0.012])
+    assert got["H"] == [0.0, 1e18, 1e18] and got["N"][0] == 0.0 and got["N"][1] != got["N"][1]
+    assert got["C"] == [0.0, 0.1, 0.3, 0.6]
+
+
 def test_step_aggregates(spark):
     rows = [(1, "A", "X", 1.5), (1, "A", "Y", None), (2, "A", "X", None), (1, "B", "X", 2.0)]
     df = table(spark, rows)

@@ -20,6 +20,14 @@ def test_heavy_keys_are_found(spark):
     assert heavy_keys(df, [["k"], ["k", "step"]], hot_rows=4_000) == [{}, {}]
 
 
+def test_every_heavy_key_is_found(spark):
+    """Three thousand equally heavy keys, and one below the limit."""
+    df = spark.range(30_004).select(F.when(F.col("id") < 30_000, F.col("id") % 3_000).otherwise(-5).alias("k"))
+    (found,) = heavy_keys(df, [["k"]], hot_rows=10)
+    assert set(found.values()) == {10} and len(found) == 3_000
+    assert df.where(~is_heavy(["k"], found)).count() == 4
+
+
 def test_salted_join_equals_plain_join(spark):
     df = keyed(spark, 9_000)
     right = df.where("k IS NOT NULL").groupBy("k").agg(F.max("event_id").alias("last"))

@@ -61,6 +61,13 @@ def test_positional_split(spark, fraction):
     assert sorted(r.event_id for r in rest.collect()) == list(range(n, 10))
 
 
+def test_positional_split_follows_the_row_key_and_loses_nothing(spark):
+    df = steps(spark, [5, 1, None, 3, 4, None, 2, 9, None, 8])
+    first, rest = split.positional_split(df, 0.6)
+    assert sorted(r.event_id for r in first.collect()) == list(range(6))
+    assert first.count() + rest.count() == 10
+
+
 def test_fixed_windows(spark):
     rows = split.fixed_windows(steps(spark, [354, 355, None])).collect()
     assert [(r.step, r.window) for r in rows] == [(354, "reference"), (355, "current")]
