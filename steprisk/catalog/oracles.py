@@ -515,3 +515,35 @@ judged AS (SELECT *, concat_ws(' ',
   ) AS reasons FROM pairs)
 SELECT *, reasons = '' AS promotion_recommended,
   CASE WHEN reasons = '' THEN 'CANDIDATE_APPROVED_FOR_REVIEW' ELSE 'KEEP_PRODUCTION' END AS decision FROM judged"""
+
+# --- fitted models: what holds for any model ---------------------------------------------------------------------
+
+ORACLES["save_load_model"] = from_tx("SELECT count(*) AS rows, 0 AS differing FROM tx")
+ORACLES["score"] = from_tx("SELECT event_id, true AS is_probability FROM tx")
+ORACLES["fit_classifier"] = (
+    f"WITH {TX}, {cut(0.8)} SELECT event_id, isFraud, true AS is_probability FROM tx, cut WHERE step >= cutoff"
+)
+ORACLES["train_challenger"] = from_tx("SELECT event_id, true AS is_probability FROM tx WHERE step >= 525")
+ORACLES["score_transactions"] = ORACLES["score_stream"] = f"""WITH {REQUESTS}, checked AS (
+  SELECT event_id, amount >= 0 AND dest_seen_before <= 1 AND type <> 'UNKNOWN' AS valid,
+    concat_ws(',', CASE WHEN amount < 0 THEN 'amount' END, CASE WHEN dest_seen_before > 1 THEN 'dest_seen_before' END,
+              CASE WHEN type = 'UNKNOWN' THEN 'type' END) AS violations FROM requests)
+SELECT event_id, valid, violations, CASE WHEN valid THEN CAST(0.5 AS DOUBLE) END AS threshold, true AS consistent FROM checked"""
+_HELD_OUT = """SELECT CAST(count(*) FILTER (WHERE isFraud = 0) AS BIGINT) AS negatives,
+  CAST(count(*) FILTER (WHERE isFraud = 1) AS BIGINT) AS positives"""
+ORACLES["train_behavioral"] = ORACLES["train_leakage_safe"] = (
+    f"WITH {TX}, {cut(0.8)} {_HELD_OUT}, any_value(cutoff) AS cutoff_step FROM tx, cut WHERE step >= cutoff"
+)
+ORACLES["train_leaky_benchmark"] = from_tx(
+    f"""{_HELD_OUT}, CAST(NULL AS INTEGER) AS cutoff_step
+FROM (SELECT isFraud, row_number() OVER (ORDER BY event_id) > floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS later FROM tx)
+WHERE later"""
+)
+# The proxy score drifts enough to ask for retraining on every supplied table.
+ORACLES["lifecycle_report"] = from_tx(
+    """SELECT true AS retraining_recommended, 525 AS candidate_cutoff_step, 'step < 525' AS training_window,
+  'step >= 525' AS evaluation_window, CAST(0.5 AS DOUBLE) AS decision_threshold,
+  count(*) FILTER (WHERE isFraud = 0) AS champion_negatives, count(*) FILTER (WHERE isFraud = 1) AS champion_positives,
+  count(*) FILTER (WHERE isFraud = 0) AS candidate_negatives, count(*) FILTER (WHERE isFraud = 1) AS candidate_positives,
+  true AS gate_agrees FROM tx WHERE step >= 525"""
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from steprisk.catalog.inputs import (
@@ -149,11 +149,15 @@ register_as("write_threshold_table", _write_threshold_table)
 
 @register
 def save_load_model(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores of the stored and reloaded champion."""
-    path = scratch(spark, "model")
-    training.save_model(champion(spark, folder), path)
-    reloaded = training.load_model(spark, path)
-    return training.score_feature_table(reloaded, feature_table(spark, folder)).select("event_id", "score")
+    """Rows, and rows whose score the stored and reloaded champion gives otherwise than the champion itself."""
+    path, model = scratch(spark, "model"), champion(spark, folder)
+    training.save_model(model, path)
+    both = training.score_feature_table(
+        training.load_model(spark, path), training.score_feature_table(model, feature_table(spark, folder)), "reloaded"
+    )
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("score").eqNullSafe(F.col("reloaded"))).alias("differing")
+    )
 
 
 @register
@@ -468,18 +472,22 @@ def class_weight(spark: SparkSession, folder: str) -> DataFrame:
     return training.class_weight(before)
 
 
+def _is_probability(name: str = "score") -> Column:
+    return F.coalesce(F.col(name).between(0.0, 1.0), F.lit(False)).alias("is_probability")
+
+
 @register
 def fit_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Held-out scores of a freshly fitted model."""
+    """Held-out rows of a freshly fitted model."""
     return training.train_behavioral(feature_table(spark, folder), boosting=QUERY_BOOSTING).scored.select(
-        "event_id", "isFraud", "score"
+        "event_id", "isFraud", _is_probability()
     )
 
 
 @register
 def score(spark: SparkSession, folder: str) -> DataFrame:
     return training.score_feature_table(champion(spark, folder), feature_table(spark, folder)).select(
-        "event_id", "score"
+        "event_id", _is_probability()
     )
 
 
@@ -497,10 +505,25 @@ def _risk_level(spark: SparkSession, folder: str) -> DataFrame:
 register_as("risk_level", _risk_level)
 
 
+def _decisions(decided: DataFrame) -> DataFrame:
+    """What a decision row must say whatever the model: its checks, and a decision that follows from its probability."""
+    probability, threshold = F.col("fraud_probability"), F.col("threshold")
+    # The probability is shown with six digits; next to the threshold it does not tell the side.
+    near = F.abs(probability - threshold) <= 1e-6
+    follows = near | ((F.col("prediction") == "fraud") == (probability >= threshold))
+    empty = probability.isNull() & threshold.isNull() & F.col("prediction").isNull() & F.col("risk_level").isNull()
+    return decided.select(
+        "event_id",
+        "valid",
+        F.concat_ws(",", "violations").alias("violations"),
+        "threshold",
+        F.when(F.col("valid"), probability.between(0.0, 1.0) & follows).otherwise(empty).alias("consistent"),
+    )
+
+
 @register
 def score_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    decided = training.score_transactions(champion(spark, folder), _requests(spark, folder), PROXY_THRESHOLD)
-    return decided.withColumn("violations", F.concat_ws(",", "violations"))
+    return _decisions(training.score_transactions(champion(spark, folder), _requests(spark, folder), PROXY_THRESHOLD))
 
 
 def _score_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -513,7 +536,7 @@ def _score_stream(spark: SparkSession, folder: str) -> DataFrame:
         champion(spark, folder), stream, output, scratch(spark, "stream-state"), PROXY_THRESHOLD, available_now=True
     )
     query.awaitTermination()
-    return spark.read.parquet(output).withColumn("violations", F.concat_ws(",", "violations"))
+    return _decisions(spark.read.parquet(output))
 
 
 register_as("score_stream", _score_stream)
@@ -523,7 +546,13 @@ def _trainer(name: str) -> Query:
     train, table = TRAINERS[name]
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return train(table(spark, folder), boosting=QUERY_BOOSTING).metrics
+        """Held-out labels as the metrics count them, and the first held-out step where there is one."""
+        trained = train(table(spark, folder), boosting=QUERY_BOOSTING)
+        return trained.metrics.select(
+            (F.col("tn") + F.col("fp")).alias("negatives"),
+            (F.col("fn") + F.col("tp")).alias("positives"),
+            F.lit(trained.params.get("cutoff_step")).cast("int").alias("cutoff_step"),
+        )
 
     return query
 
@@ -763,7 +792,9 @@ register_as("promotion_gate", _promotion_gate)
 
 def _train_challenger(spark: SparkSession, folder: str) -> DataFrame:
     later = feature_table(spark, folder).where(F.col("step") >= CHALLENGER_CUTOFF_STEP)
-    return training.score_feature_table(challenger(spark, folder), later, dtype="float").select("event_id", "score")
+    return training.score_feature_table(challenger(spark, folder), later, dtype="float").select(
+        "event_id", _is_probability()
+    )
 
 
 register_as("train_challenger", _train_challenger)
@@ -786,14 +817,27 @@ def _lifecycle_report(spark: SparkSession, folder: str) -> DataFrame:
         threshold=PROXY_THRESHOLD,
         boosting=QUERY_BOOSTING,
     )
-    return report.select(
-        "trigger.retraining_recommended",
-        "promotion.decision",
+    pair = report.select(
+        "*",
         *[
             F.col(f"{side}_metrics.{name}").alias(f"{side}_{name}")
             for side in ("champion", "candidate")
-            for name in ("pr_auc", "precision", "recall", "fp")
+            for name in ("pr_auc", "recall", "precision", "fp")
+        ],
+    )
+    again = promotion_gate(pair)
+    return again.select(
+        "trigger.retraining_recommended",
+        "candidate_cutoff_step",
+        "training_window",
+        "evaluation_window",
+        "decision_threshold",
+        *[
+            (F.col(f"{side}_metrics.{one}") + F.col(f"{side}_metrics.{two}")).alias(f"{side}_{name}")
+            for side in ("champion", "candidate")
+            for name, one, two in (("negatives", "tn", "fp"), ("positives", "fn", "tp"))
         ],
+        (F.col("promotion.decision") == F.col("decision")).alias("gate_agrees"),
     )
 
 
