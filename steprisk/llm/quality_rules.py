@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from steprisk.llm.common import mixed, written
-from steprisk.llm.tokens import DEFAULT_VOCABULARY, WordTokenizer, vocabulary_path
+from steprisk.llm.tokens import DEFAULT_VOCABULARY, Memo, WordTokenizer, vocabulary_path
 
 BYTE_VOCABULARY = "piece_bpe_32k.model"
 WIDTH = 3.0
@@ -37,7 +37,8 @@ LEAST_WIDTH = 0.05
 LEAST_TOKENS = 200
 ACCURACY = 2000
 WINDOW = 5
-MEMO_WORDS = 250_000
+SALTS = 256
+MEMO_WORDS = 400_000
 MEASURES = ("chars_per_piece", "chars_per_word_token", "byte_share", "entropy")
 
 _SYMBOLS = b"#*$%&|<>"
@@ -72,13 +73,10 @@ def repeat_words(words: list[bytes]) -> int:
     windows = len(words) - WINDOW + 1
     if windows < 2:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(word, len(number)) for word in words), dtype=np.uint64, count=len(words))
-    if len(number) == len(words):
-        return 0
+    ids = np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64)
     keys = np.zeros(windows, dtype=np.uint64)
     for place in range(WINDOW):
-        keys = mixed(keys + ids[place : place + windows] + np.uint64(1))
+        keys = mixed(keys + ids[place : place + windows])
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     if not same.any():
@@ -87,11 +85,11 @@ def repeat_words(words: list[bytes]) -> int:
     suspects = np.zeros(windows, dtype=bool)
     suspects[order[1:][same]] = True
     suspects[order[:-1][same]] = True
-    places = np.flatnonzero(suspects)
-    counts = Counter(tuple(ids[at : at + WINDOW].tolist()) for at in places)
+    places = np.flatnonzero(suspects).tolist()
+    counts = Counter(tuple(words[at : at + WINDOW]) for at in places)
     covered = np.zeros(len(words) + 1, dtype=np.int64)
     for at in places:
-        if counts[tuple(ids[at : at + WINDOW].tolist())] > 1:
+        if counts[tuple(words[at : at + WINDOW])] > 1:
             covered[at] += 1
             covered[at + WINDOW] -= 1
     return int((np.cumsum(covered) > 0).sum())
@@ -130,7 +128,7 @@ class PieceTokenizer:
         self.processor = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(vocabulary))
         size = self.processor.get_piece_size()
         self.is_byte = np.fromiter((self.processor.is_byte(i) for i in range(size)), dtype=bool, count=size)
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = Memo(self._word)
 
     @classmethod
     def of(cls, vocabulary: str) -> PieceTokenizer:
@@ -138,19 +136,13 @@ class PieceTokenizer:
             cls._loaded[vocabulary] = cls(vocabulary)
         return cls._loaded[vocabulary]
 
+    def _word(self, word: bytes) -> bytes:
+        return np.array(self.processor.encode(word.decode("utf-8", "replace")), "<u2").tobytes()
+
     def encode(self, words: list[bytes]) -> np.ndarray:
-        memo, fresh = self.memo, {}
-        new = list({word for word in words if word not in memo})
-        if new:
-            texts = [word.decode("utf-8", "replace") for word in new]
-            fresh = {w: np.array(ids, "<u2").tobytes() for w, ids in zip(new, self.processor.encode(texts, num_threads=1))}
-            short = {word: ids for word, ids in fresh.items() if len(word) <= 64}
-            if len(memo) + len(short) > MEMO_WORDS:
-                fresh |= {word: memo[word] for word in words if word in memo}
-                memo.clear()
-            elif len(short):
-                memo.update(short)
-        return np.frombuffer(b"".join([memo[word] if word in memo else fresh[word] for word in words]), "<u2")
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, words)), "<u2")
 
 
 def relative_entropy(ids: np.ndarray) -> float:
@@ -229,8 +221,11 @@ def judged(measured: DataFrame) -> DataFrame:
     for name in MEASURES:
         outside = outside | ~F.col(name).between(F.col(f"{name}_low"), F.col(f"{name}_high"))
     fertility = (F.col("n_pieces") >= LEAST_TOKENS) & F.coalesce(outside, F.lit(False))
+    # A language may hold most rows: its one row of bands is repeated per salt, and its documents are dealt over them.
+    salted = bands(measured).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = measured.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "word_chars", "n_pieces"), F.lit(SALTS)).cast("int"))
     return (
-        measured.join(bands(measured), "kin", "left")
+        dealt.join(salted, ["kin", "_salt"], "left")
         .withColumns({"base_failed": few | repeated, "fertility_failed": fertility})
         .withColumn("kept", ~F.col("base_failed") & ~F.col("fertility_failed"))
     )
