@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_features(df: DataFrame, path: str, row_key: str = "event_id", global_order: bool = False) -> None:
-    """Parquet, ZSTD, ordered by step, so that step predicates skip row groups.
+def write_features(df: DataFrame, path: str, row_key: str = "event_id", global_order: bool = True) -> None:
+    """Parquet, ZSTD, ordered by step over all files, so that step predicates skip whole files and row groups.
 
-    Each file is ordered by step without moving rows between tasks. ``global_order`` also orders the files
-    among themselves, at the price of range sampling and one more shuffle of the whole table; the row key takes
-    part in the range boundaries then, so a step holding very many rows is split over several files.
+    The table is range-partitioned by step; the row key takes part in the boundaries, so a step holding very many rows is
+    split over several files. ``global_order=False`` saves that shuffle and orders each file by itself: every file then
+    spans most steps, and only row groups of large files can be skipped.
     """
     if global_order:
         df = df.repartitionByRange("step", row_key)

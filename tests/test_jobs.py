@@ -1,7 +1,9 @@
 """Sources, sinks, training, scoring, reports and streaming end to end on the smallest tables."""
 
+import glob
 import json
 
+import pyarrow.parquet as parquet
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +100,24 @@ def test_read_window_reaches_the_scan(spark, features, tmp_path):
     assert window.agg(F.max("step")).first()[0] == 354
 
 
+def test_step_predicates_skip_files(spark, features, tmp_path):
+    """The footers tell which files a window on steps need not open."""
+    path = str(tmp_path / "ordered")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        feature_source.write_features(features, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = []
+    for file in glob.glob(f"{path}/*.parquet"):
+        footer = parquet.ParquetFile(file).metadata
+        groups = [footer.row_group(n).column(footer.schema.names.index("step")).statistics for n in range(footer.num_row_groups)]
+        spans.append((min(g.min for g in groups), max(g.max for g in groups)))
+    spans.sort()
+    assert len(spans) > 2 and all(one[1] <= two[0] for one, two in zip(spans, spans[1:]))
+    assert any(low >= 355 for low, _ in spans)
+
+
 def test_report_round_trip(spark, tx, tmp_path):
     report = quality_report(tx, TRANSACTIONS.fieldNames())
     reports.write_report(report, str(tmp_path / "report"))
