@@ -23,14 +23,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the one with the least id, of every group of near copies (five-word shingles, 0.8).
 
     Rows that repeat an id and its text are one document."""
-    found = minhash.near_duplicates(docs, words=5, percent=80)
+    found = written(minhash.near_duplicates(docs, words=5, percent=80), "near-duplicates")
     dropped = found.where(~F.col("kept")).select("doc_id").distinct()
     repeated = (
         found.where(F.col("kept") & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("doc_id")
     )
-    single = docs.join(dropped.unionAll(repeated).distinct(), "doc_id", "left_anti")
-    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    # Written first, so that Spark knows their sizes and moves the texts only if they are too large to broadcast.
+    single = docs.join(written(dropped.unionAll(repeated).distinct(), "dropped"), "doc_id", "left_anti")
+    once = docs.join(written(repeated, "repeated"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return single.unionByName(once).select(*docs.columns)
 
 
