@@ -24,6 +24,7 @@ MODEL_NUMERIC = (
 )
 MODEL_FEATURES = (*MODEL_NUMERIC, *[f"type_{name}" for name in TRANSACTION_TYPES])
 
+# Numeric inputs of the leakage-safe model.
 SAFE_NUMERIC = ("step", "amount", "oldbalanceOrg", "oldbalanceDest", "hour", "day", "amount_to_orig_balance")
 
 

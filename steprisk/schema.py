@@ -25,6 +25,7 @@ TRANSACTIONS = T.StructType(
 TRANSACTION_TYPES = ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER")
 
 # The eight columns the history build needs: no post-transaction balances, no flag.
+# Columns the history is built from.
 HISTORY_INPUT = (
     "step", "type", "amount", "nameOrig", "oldbalanceOrg", "nameDest", "oldbalanceDest", "isFraud",
 )
@@ -63,6 +64,7 @@ REVIEW_THRESHOLD = 0.50
 REFERENCE_END_STEP = 355
 CHALLENGER_CUTOFF_STEP = 525
 
+# Field names of the published drift report.
 _METRIC = T.StructType(
     [
         T.StructField("feature", T.StringType()),
@@ -117,6 +119,7 @@ DRIFT_REPORT = T.StructType(
     ]
 )
 
+# Field names of the published lifecycle report.
 _MODEL_METRICS = T.StructType(
     [T.StructField(name, T.DoubleType()) for name in ("roc_auc", "pr_auc", "precision", "recall", "f1")]
     + [T.StructField(name, T.LongType()) for name in ("tn", "fp", "fn", "tp")]

@@ -28,8 +28,8 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 def with_row_key(df: DataFrame, row_key: str = "event_id") -> DataFrame:
     """The table with a unique row number, if it has none yet.
 
-    Numbers follow the position inside a file. Several files are not ordered among each other, so a source
-    whose ties matter should bring its own key.
+    Numbers follow the position inside a split. Several files, and one large file once it is read in several splits, get
+    numbers that depend on the cluster's settings: a source whose ties matter should bring its own key.
     """
     return df if row_key in df.columns else df.withColumn(row_key, F.monotonically_increasing_id())
 

@@ -13,11 +13,12 @@ def decide(spark, severity, ratio, pr_auc):
 @pytest.mark.parametrize(
     "severity, ratio, pr_auc, reasons",
     [
-        ("HIGH", 1.0, 0.97, [policy.SCORE_DRIFT_REASON]),
-        (None, 3.0, 0.97, [policy.PREVALENCE_REASON]),
-        ("LOW", 2.0, 0.97, [policy.PREVALENCE_REASON]),
-        ("LOW", 1.1, 0.97, []),
-        ("LOW", 1.1, 0.90, []),
+        ("HIGH", 0.8, 0.99, [policy.SCORE_DRIFT_REASON]),
+        (None, 7.5, 0.99, [policy.PREVALENCE_REASON]),
+        ("LOW", 1.3, 0.99, []),
+        # The published limits themselves.
+        ("LOW", 2.0, 0.99, [policy.PREVALENCE_REASON]),
+        ("LOW", 1.3, 0.90, []),
         ("MEDIUM", None, None, [policy.PR_AUC_REASON]),
         ("HIGH", 9.0, 0.1, [policy.SCORE_DRIFT_REASON, policy.PREVALENCE_REASON, policy.PR_AUC_REASON]),
     ],
@@ -41,11 +42,11 @@ def judge(spark, champion, candidate):
 @pytest.mark.parametrize(
     "champion, candidate, reasons",
     [
-        ((0.95, 0.88), (0.97, 0.89), []),
-        ((0.97, 0.88), (0.95, 0.90), [policy.GAIN_REASON]),
-        ((0.97, 0.90), (0.98, 0.85), [policy.RECALL_REASON]),
-        ((0.97, 0.88, 0.96, 100), (0.98, 0.95, 0.87, 120), [policy.PRECISION_REASON]),
-        ((0.97, 0.88, 0.95, 75), (0.98, 0.94, 0.93, 250), [policy.FALSE_POSITIVE_REASON]),
+        ((0.61, 0.70), (0.66, 0.74), []),
+        ((0.66, 0.70), (0.61, 0.74), [policy.GAIN_REASON]),
+        ((0.70, 0.80), (0.75, 0.60), [policy.RECALL_REASON]),
+        ((0.70, 0.80, 0.90, 40), (0.75, 0.85, 0.60, 44), [policy.PRECISION_REASON]),
+        ((0.70, 0.80, 0.90, 40), (0.75, 0.85, 0.89, 400), [policy.FALSE_POSITIVE_REASON]),
         ((0.97, 0.88, 0.95, 75), (0.97, 0.88, 0.95, 150), []),
         ((0.97, 0.88, 0.95, 0), (0.97, 0.88, 0.95, 3), [policy.FALSE_POSITIVE_REASON]),
         ((None, None, None, None), (None, None, None, None), []),
@@ -63,6 +64,7 @@ def test_reason_wording():
     assert "false-positive increase" in policy.FALSE_POSITIVE_REASON
 
 
+# The published monitoring figures.
 def test_published_trigger(spark):
     """Score drift HIGH, fraud ratio 4.2191 and PR-AUC 0.974028 call for retraining, with two reasons."""
     report = spark.createDataFrame(
