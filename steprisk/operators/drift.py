@@ -36,20 +36,21 @@ def _values(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def _profile(df: DataFrame, features: Sequence[str]) -> dict[str, dict]:
     """Per feature: rows with a value in each window, and the joint range. One aggregate for all features."""
-    profile = (
-        _values(df, features)
-        .unpivot(["window"], list(features), "feature", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("feature")
-        .agg(
-            F.count_if(_in_window("reference")).alias("reference"),
-            F.count_if(_in_window("current")).alias("current"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
-    )
-    found = {row["feature"]: row.asDict() for row in profile.collect()}
-    return {name: found.get(name, {"reference": 0, "current": 0}) for name in features}
+    sides = {"reference": _in_window("reference"), "current": _in_window("current")}
+    row = _values(df, features).agg(
+        *[
+            column.alias(f"{place}:{what}")
+            for place, name in enumerate(features)
+            for what, column in {
+                **{side: F.count_if(inside & F.col(name).isNotNull()) for side, inside in sides.items()},
+                "low": F.min(name),
+                "high": F.max(name),
+            }.items()
+        ]
+    ).first()
+    return {
+        name: {what: row[f"{place}:{what}"] for what in (*sides, "low", "high")} for place, name in enumerate(features)
+    }
 
 
 def _between(low: float, high: float, share: float) -> float:

@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from steprisk.functions.decisions import SEVERITIES
 from steprisk.functions.rowfeatures import drift_features
 from steprisk.operators.drift import (
     SCORE_FEATURE,
     categorical_total_variation,
     label_shift,
     numeric_drift,
-    overall_severity,
     window_profile,
 )
 from steprisk.operators.metrics import heldout_performance
@@ -74,9 +74,7 @@ def drift_report(
     report = {
         "reference_rows": reference["rows"],
         "current_rows": current["rows"],
-        "overall_severity": overall_severity(
-            spark.createDataFrame(metrics, DRIFT_REPORT["metrics"].dataType.elementType)
-        ).first()["overall_severity"],
+        "overall_severity": max((row["severity"] for row in metrics), key=SEVERITIES.index, default=SEVERITIES[0]),
         "metrics": metrics,
         "label_monitoring": label_shift(windowed).first().asDict(),
         "heldout_performance": heldout_performance(
