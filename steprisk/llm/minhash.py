@@ -183,7 +183,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, words: int
     # Sets are made again from the texts of those documents that are in a likely pair, and only once for each.
     wanted = likely.select(F.col("a").alias("node")).unionAll(likely.select(F.col("b").alias("node"))).distinct()
     sets = written(
-        texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_set_rows(words), "node long, members binary"),
+        texts.join(wanted.hint("merge"), "node", "left_semi").select("node", "text").mapInArrow(_set_rows(words), "node long, members binary"),
         "shingle-sets",
     )
     return (
