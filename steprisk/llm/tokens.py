@@ -1,21 +1,28 @@
-"""Token ids of whole texts from a public tokenizer file, with a bounded memo of words.
+"""Token ids of whole texts from a public tokenizer file, with bounded memos.
 
-The vocabulary drops white space and never joins what white space separates, so a text's ids are those of its
-space- and newline-separated words in order. Words repeat; a memo of at most ``MEMO_WORDS`` of them makes that cheap.
-A full memo is emptied, never extended. New words of a batch are encoded together, set apart by a sign of their own.
+The vocabulary drops white space, cuts text into runs of letters, single digits and runs of signs, and merges within a
+run only. Runs repeat; a memo makes that cheap. A text of plain Latin script is cut here, exactly as the tokenizer cuts
+it, and new runs are merged by the tokenizer's own model. In any other text, words that are not plain take the
+tokenizer's whole way. The memos hold at most ``MEMO_RUNS`` runs and ``MEMO_WORDS`` such words; a full one is emptied.
+Long texts are worked off in slices that end at a space or line feed.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 300_000
+MEMO_RUNS = 1_000_000
+MEMO_WORDS = 200_000
 MEMO_CHARACTERS = 48
-# Between new words; words that hold it, or what may be a special token, are encoded one by one.
-SIGN = "§"
+SLICE = 1 << 20
+# ASCII but the apostrophe, and precomposed Latin letters: lower-casing them is letter by letter, normal forms leave them
+# alone, and Python's classes take the same ones for letters. White space is the six ASCII characters.
+PLAIN = re.compile(r"[\t-\r -&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+RUNS = re.compile(r"[^\W\d_]+|[0-9]|(?:[^\w \t-\r]|_)+")
 IDS = np.dtype("<u4")
 
 
@@ -26,6 +33,19 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class Memo(dict):
+    """Makes and keeps what is missing."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: str | bytes) -> bytes:
+        ids = self.make(word)
+        if len(word) <= MEMO_CHARACTERS:
+            self[word] = ids
+        return ids
+
+
 class WordTokenizer:
     """``encode(texts)``: the ids of each text as little-endian unsigned 32-bit bytes."""
 
@@ -35,10 +55,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.memo: dict[str, bytes] = {"": b""}
-        sign = self._ids(SIGN)
-        # One id that no word without the sign can have; without such an id all words are encoded one by one.
-        self.sign_id = sign[0] if len(sign) == 1 else None
+        self.model = self.tokenizer.model
+        self.words, self.runs = Memo(self._word), Memo(self._run)
+        # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.alphabet = {byte: 256 + n for n, byte in enumerate(b for b in range(256) if b not in printable)}
 
     @classmethod
     def of(cls, vocabulary: str = DEFAULT_VOCABULARY) -> WordTokenizer:
@@ -50,49 +71,42 @@ class WordTokenizer:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encode_new(self, words: Iterable[str]) -> dict[str, bytes]:
-        plain, other = [], []
-        for word in words:
-            (other if self.sign_id is None or SIGN in word or "<|" in word else plain).append(word)
-        found = {word: np.array(self._ids(word), IDS).tobytes() for word in other}
-        for start in range(0, len(plain), 4096):
-            part = plain[start : start + 4096]
-            ids = np.array(self._ids(f" {SIGN} ".join(part)), IDS)
-            cuts = np.flatnonzero(ids == self.sign_id)
-            assert len(cuts) == len(part) - 1
-            raw, size = ids.tobytes(), IDS.itemsize
-            starts = np.concatenate(([0], (cuts + 1) * size)).tolist()
-            ends = np.concatenate((cuts * size, [len(raw)])).tolist()
-            found.update(zip(part, [raw[a:b] for a, b in zip(starts, ends)]))
-        return found
-
-    def encode_words(self, words: list[list[str]]) -> list[list[bytes]]:
-        """The ids of every word of every list."""
-        memo = self.memo
-        new = {word for part in words for word in part if word not in memo}
-        if not new:
-            return [[memo[word] for word in part] for part in words]
-        fresh = self._encode_new(new)
-        short = {word: ids for word, ids in fresh.items() if len(word) <= MEMO_CHARACTERS}
-        if len(memo) + len(short) > MEMO_WORDS:
-            known = {word: memo[word] for part in words for word in part if word in memo}
-            memo.clear()
-            memo[""] = b""
-            fresh |= known
-            short = {word: ids for word, ids in fresh.items() if len(word) <= MEMO_CHARACTERS}
-        if len(memo) + len(short) <= MEMO_WORDS:
-            memo.update(short)
-        return [[memo[word] if word in memo else fresh[word] for word in part] for part in words]
-
-    def encode(self, texts: Iterable[str | None], at_once: int = 1 << 20) -> Iterator[bytes]:
-        """Ids text by text; about ``at_once`` characters are looked up together."""
-        held: list[list[str]] = []
-        size = 0
+    def _run(self, run: str) -> bytes:
+        spelled = run if run.isascii() else run.encode().decode("latin-1").translate(self.alphabet)
+        return np.array([token.id for token in self.model.tokenize(spelled)], IDS).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return np.array(self._ids(word), IDS).tobytes()
+
+    def _encoded(self, part: str) -> bytes:
+        if "<|" not in part and PLAIN.fullmatch(part):
+            return b"".join(map(self.runs.__getitem__, RUNS.findall(part.lower())))
+        return b"".join(
+            b"".join(map(self.runs.__getitem__, RUNS.findall(word.lower())))
+            if "<|" not in word and PLAIN.fullmatch(word)
+            else self.words[word]
+            for word in part.replace("\n", " ").split(" ")
+        )
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids text by text."""
         for text in texts:
-            text = text or ""
-            held.append(text.replace("\n", " ").split(" "))
-            size += len(text)
-            if size >= at_once:
-                yield from map(b"".join, self.encode_words(held))
-                held, size = [], 0
-        yield from map(b"".join, self.encode_words(held))
+            yield b"".join(map(self._checked, slices(text or "")))
+
+    def _checked(self, part: str) -> bytes:
+        for memo, most in ((self.words, MEMO_WORDS), (self.runs, MEMO_RUNS)):
+            if len(memo) > most:
+                memo.clear()
+        return self._encoded(part)
+
+
+def slices(text: str) -> Iterator[str]:
+    """The text in slices of about ``SLICE`` characters that end before a space or a line feed."""
+    start = 0
+    while len(text) - start > SLICE:
+        ends = [end for end in (text.find(sign, start + SLICE) for sign in " \n") if end >= 0]
+        if not ends:
+            break
+        yield text[start : min(ends)]
+        start = min(ends)
+    yield text[start:]
