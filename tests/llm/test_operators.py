@@ -445,6 +445,20 @@ def test_fuzzy_passage(spark):
     assert row["start_word"] in range(198, 203) and row["end_word"] == 320 and 115 <= row["equal_words"] <= 120
 
 
+def test_passages_of_common_lines_find_their_partner(spark):
+    """Every line of a passage is common elsewhere, so no line's leading document holds the passage."""
+    pick = random.Random(5)
+    lines = [prose(5000 + n, 12) for n in range(40)]
+    texts = []
+    for pair in range(60):
+        shared = " ".join(pick.sample(lines, 6))
+        texts += [f"{prose(6000 + 2 * pair + side, 30)} {shared} {prose(7000 + 2 * pair + side, 30)}" for side in (0, 1)]
+    table = spark.createDataFrame([(n, text, "en", "a", 1) for n, text in enumerate(texts)], SCHEMA)
+    found = passages.op7_passages(table).where("kind = 'passage'").collect()
+    covered = {r["doc_id"] for r in found if r["start_word"] <= 30 and r["end_word"] >= 102}
+    assert covered == set(range(120))
+
+
 def test_chains_equal_quadratic_search():
     pick = random.Random(9)
     for _ in range(60):
