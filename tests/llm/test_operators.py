@@ -459,6 +459,40 @@ def test_passages_of_common_lines_find_their_partner(spark):
     assert covered == set(range(120))
 
 
+def edited(pick, words, edits):
+    """``words`` with ``edits`` changed, inserted or deleted words at different places."""
+    words = list(words)
+    for at in sorted(pick.sample(range(len(words)), edits), reverse=True):
+        kind = pick.choice(["change", "insert", "delete"])
+        words[at : at + (kind != "insert")] = [] if kind == "delete" else [f"new{pick.random()}"]
+    return words
+
+
+@pytest.mark.parametrize("length, rate, least", [(60, 0.05, 0.97), (60, 0.10, 0.93), (60, 0.15, 0.8), (80, 0.15, 0.9), (120, 0.15, 0.95)])
+def test_recall_of_edited_passages(length, rate, least):
+    """Short passages with inserted and deleted words, by length and share of edited words, between a document and its leader."""
+    pick, found, cases = random.Random(f"{length} {rate}"), 0, 100
+    for case in range(cases):
+        shared = [f"w{case}-{n}" for n in range(length)]
+        texts = [
+            [f"a{n}" for n in range(40)] + shared + [f"b{n}" for n in range(40)],
+            [f"c{n}" for n in range(30)] + edited(pick, shared, round(rate * length)) + [f"d{n}" for n in range(50)],
+        ]
+        one, two = (minhash.word_hashes(" ".join(text)) for text in texts)
+        (at_one, keys_one), (at_two, keys_two) = passages.seeds(one), passages.seeds(two)
+        _, i, k = np.intersect1d(keys_one, keys_two, return_indices=True)
+        at = at_one[i], at_two[k]
+        found += any(
+            passages.passages_of(one, two, at[0][chain], at[1][chain]) for chain in (passages.chains(*at) if len(i) else [])
+        )
+    assert found >= least * cases
+
+
+def test_ends_are_aligned_with_gaps():
+    one, two = (minhash.word_hashes(text) for text in ("a b c d e f g h i j x y z p q r", "a b c e f g new h i j u v w s t o"))
+    assert passages.reach(one, two) == (10, 10, 9)
+
+
 def test_chains_equal_quadratic_search():
     pick = random.Random(9)
     for _ in range(60):
