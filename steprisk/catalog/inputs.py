@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from steprisk.operators.history import behavioral_features
 from steprisk.plans.training import (
-    Boosting,
+    Trained,
     load_model,
     save_model,
     train_behavioral,
@@ -25,9 +25,6 @@ from steprisk.session import shared_folder
 from steprisk.sources.events import read_events_as_transactions
 from steprisk.sources.features import write_features
 
-# The registered training queries boost for fewer rounds than a production fit; rows are never cut.
-QUERY_BOOSTING = Boosting(rounds=20)
-
 # Threshold at which the proxy scores flag a useful share of rows.
 PROXY_THRESHOLD = 0.5
 
@@ -65,9 +62,27 @@ def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(feature_table_path(spark, folder))
 
 
+TRAINERS = {
+    "train_leaky_benchmark": (train_leaky_benchmark, transactions),
+    "train_leakage_safe": (train_leakage_safe, transactions),
+    "train_behavioral": (train_behavioral, feature_table),
+}
+
+_trained: dict[tuple[str, str, str], Trained] = {}
+
+
+def trained(spark: SparkSession, folder: str, name: str) -> Trained:
+    """A trainer's result with the default boosting, fitted by the first query of this application that needs it."""
+    key = (spark.sparkContext.applicationId, hashlib.sha1(folder.encode()).hexdigest(), name)
+    if key not in _trained:
+        train, table = TRAINERS[name]
+        _trained[key] = train(table(spark, folder))
+    return _trained[key]
+
+
 def champion(spark: SparkSession, folder: str) -> PipelineModel:
     def write(path: str) -> None:
-        save_model(train_behavioral(feature_table(spark, folder), boosting=QUERY_BOOSTING).model, path)
+        save_model(trained(spark, folder, "train_behavioral").model, path)
 
     return load_model(spark, _once(spark, folder, "champion", write))
 
@@ -75,7 +90,7 @@ def champion(spark: SparkSession, folder: str) -> PipelineModel:
 def challenger(spark: SparkSession, folder: str) -> PipelineModel:
     def write(path: str) -> None:
         table = feature_table(spark, folder)
-        save_model(train_challenger(table, CHALLENGER_CUTOFF_STEP, boosting=QUERY_BOOSTING), path)
+        save_model(train_challenger(table, CHALLENGER_CUTOFF_STEP), path)
 
     return load_model(spark, _once(spark, folder, "challenger", write))
 
@@ -97,10 +112,3 @@ def scored_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_features(spark: SparkSession, folder: str) -> DataFrame:
     return feature_table(spark, folder).withColumn("score", champion_score())
-
-
-TRAINERS = {
-    "train_leaky_benchmark": (train_leaky_benchmark, transactions),
-    "train_leakage_safe": (train_leakage_safe, transactions),
-    "train_behavioral": (train_behavioral, feature_table),
-}

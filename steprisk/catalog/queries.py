@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from steprisk.catalog.inputs import (
     PROXY_THRESHOLD,
-    QUERY_BOOSTING,
     RAW_COLUMNS,
     TRAINERS,
     challenger,
@@ -21,6 +20,7 @@ from steprisk.catalog.inputs import (
     scored_features,
     scored_transactions,
     scratch,
+    trained,
     transactions,
 )
 from steprisk.functions import rowfeatures
@@ -479,7 +479,7 @@ def _is_probability(name: str = "score") -> Column:
 @register
 def fit_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out rows of a freshly fitted model."""
-    return training.train_behavioral(feature_table(spark, folder), boosting=QUERY_BOOSTING).scored.select(
+    return trained(spark, folder, "train_behavioral").scored.select(
         "event_id", "isFraud", _is_probability()
     )
 
@@ -543,15 +543,13 @@ register_as("score_stream", _score_stream)
 
 
 def _trainer(name: str) -> Query:
-    train, table = TRAINERS[name]
-
     def query(spark: SparkSession, folder: str) -> DataFrame:
         """Held-out labels as the metrics count them, and the first held-out step where there is one."""
-        trained = train(table(spark, folder), boosting=QUERY_BOOSTING)
-        return trained.metrics.select(
+        fitted = trained(spark, folder, name)
+        return fitted.metrics.select(
             (F.col("tn") + F.col("fp")).alias("negatives"),
             (F.col("fn") + F.col("tp")).alias("positives"),
-            F.lit(trained.params.get("cutoff_step")).cast("int").alias("cutoff_step"),
+            F.lit(fitted.params.get("cutoff_step")).cast("int").alias("cutoff_step"),
         )
 
     return query
@@ -815,7 +813,6 @@ def _lifecycle_report(spark: SparkSession, folder: str) -> DataFrame:
         champion(spark, folder),
         scratch(spark, "candidate"),
         threshold=PROXY_THRESHOLD,
-        boosting=QUERY_BOOSTING,
     )
     pair = report.select(
         "*",
