@@ -7,16 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from steprisk.llm.ann import op1_ann
+from steprisk.llm.bpe import op11_bpe
 from steprisk.llm.chat import op5_chat_format
+from steprisk.llm.codes import op13_codes
 from steprisk.llm.common import table
 from steprisk.llm.langid import op9_language_id
 from steprisk.llm.minhash import op6_minhash
 from steprisk.llm.mixing import op3_mixing
+from steprisk.llm.oracles import ORACLES
 from steprisk.llm.packing import op2_packing
 from steprisk.llm.passages import op7_passages
 from steprisk.llm.pii import op10_pii
 from steprisk.llm.quality_rules import op4_quality_rules
 from steprisk.llm.shards import op8_training_order
+from steprisk.llm.trie import op12_prefix_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +40,9 @@ QUERIES: dict[str, Query] = {
     "op8_training_order": _over("documents", op8_training_order),
     "op9_language_id": _over("documents", op9_language_id),
     "op10_pii": _over("documents", op10_pii),
+    "op11_bpe": _over("documents", op11_bpe),
+    "op12_prefix_trie": _over("conversations", op12_prefix_trie),
+    "op13_codes": _over("embeddings", op13_codes),
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

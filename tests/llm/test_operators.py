@@ -81,7 +81,7 @@ def test_clashing_columns_change_nothing(spark, docs, name):
 
 
 def test_queries_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(ORACLES) <= set(QUERIES)
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(ORACLES) <= set(QUERIES)
 
 
 # --- nearest neighbours -----------------------------------------------------------------------------------------------
