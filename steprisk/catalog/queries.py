@@ -429,7 +429,7 @@ def behavioral_features_hot(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def cutoff_step(spark: SparkSession, folder: str) -> DataFrame:
-    return split.cutoff_row(transactions(spark, folder), 0.8).select(F.col("step").alias("cutoff_step"))
+    return spark.createDataFrame([(split.cutoff_step(transactions(spark, folder), 0.8),)], "cutoff_step int")
 
 
 @register
@@ -728,9 +728,6 @@ register_as("drift_report", _drift_report)
 
 # --- lifecycle rules ---------------------------------------------------------------------------------------------
 
-HOURS = tuple(range(24))
-
-
 def _decision(table: DataFrame, *names: str) -> DataFrame:
     return table.select(*names, F.concat_ws(" ", "reasons").alias("reasons"))
 
@@ -738,12 +735,7 @@ def _decision(table: DataFrame, *names: str) -> DataFrame:
 def _retraining_policy(spark: SparkSession, folder: str) -> DataFrame:
     """One decision per hour of the day, each hour being a segment of its own."""
     table = split.fixed_windows(rowfeatures.drift_features(scored_features(spark, folder)))
-    columns = table.select(
-        "window", *[F.when(F.col("hour") == hour, F.col("score")).alias(f"hour_{hour}") for hour in HOURS]
-    )
-    by_segment = drift.numeric_drift(columns, [f"hour_{hour}" for hour in HOURS]).select(
-        F.substring_index("feature", "_", -1).cast("int").alias("hour"), F.col("severity").alias("score_severity")
-    )
+    by_segment = drift.score_drift(table, by=["hour"]).select("hour", F.col("severity").alias("score_severity"))
     rate = {name: F.avg(F.when(F.col("window") == name, F.col("isFraud"))) for name in ("reference", "current")}
     shift = table.groupBy("hour").agg(
         F.round(rate["current"] / F.greatest(rate["reference"], F.lit(1e-12)), 4).alias("fraud_rate_ratio")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from steprisk.functions.decisions import flagged
-from steprisk.operators.prefix import ordered_prefix
+from steprisk.operators.buckets import running_totals
 from steprisk.schema import DECISION_THRESHOLD
 
 # Relative cost units of the two kinds of error.
@@ -121,10 +121,13 @@ def score_curve(
     df: DataFrame, score: str = "score", label: str = "isFraud", by: Sequence[str] = ()
 ) -> DataFrame:
     """Per distinct score: positives and negatives at it (``pos``, ``neg``) and above it."""
-    per_score = df.groupBy(*by, F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    labelled = df.select(
+        *by,
+        F.col(score).cast("double").alias("score"),
+        F.coalesce((F.col(label) == 1).cast("bigint"), F.lit(0)).alias("pos"),
+        F.coalesce((F.col(label) != 1).cast("bigint"), F.lit(0)).alias("neg"),
     )
-    return ordered_prefix(per_score, [F.col("score").desc()], {"pos_above": "pos", "neg_above": "neg"}, by)
+    return running_totals(labelled, "score", {"pos": "pos_above", "neg": "neg_above"}, by, descending=True)
 
 
 def _roc_auc() -> Column:

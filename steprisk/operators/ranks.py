@@ -1,20 +1,54 @@
-"""Exact values at given ranks, for several columns in one job."""
+"""Exact values at given ranks, for many columns and segments at once, without sorting them.
+
+One pass sketches every (segment, feature) by Spark's mergeable KLL aggregate. The sketch gives, for each wanted rank, a
+range of values that holds it. A second pass counts rows per stretch between range ends; only values inside a range
+keep a row of their own, equal ones counted together before the shuffle. In that reduced table, which holds a few percent
+of the distinct values, ranks are found exactly: the stretch by its count, then the value within the stretch. A
+stretch with more than ``CELL_ROWS`` distinct values is first cut into pieces, again and again, until the piece with the rank is
+small. Should a rank lie outside its sketched range, the ranges are widened and the second pass is run again.
+
+What comes to the driver are summaries: for each (segment, feature) the ends of its ranges, a row per stretch, and the wanted
+values. Nothing is written; the reduced table is persisted until it is released.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from math import inf, nextafter
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
+from math import ceil, floor
+from operator import add, and_
+from typing import NamedTuple
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+# KLL parameter: about 0.13 % rank error with 99 % confidence.
+SKETCH = 4096
+# Share of the rows by which a range reaches beyond its rank, to either side; the next one counts after a miss.
+MARGINS = (0.005, 0.05, 1.0)
+# Steps of the grid of approximate quantiles that a sketch is read at.
+GRID = 1000
+# Distinct values that one task orders at most.
+CELL_ROWS = 1_000_000
+_PIECES = 1024
+
+Key = tuple
+Spot = tuple[int, int]
+
 
-from steprisk.operators.prefix import ordered_prefix
+class Cell(NamedTuple):
+    """A stretch between range ends: is it in a range, its rows, distinct values and least value, rows to its left."""
 
-# Above this many rows, values far from every wanted rank are folded together before the shuffle.
-FOLD_ROWS = 2_000_000
-_ACCURACY = 2_000
+    number: int
+    kept: bool
+    weights: tuple[int, ...]
+    values: int
+    low: float
+    before: int
 
 
 def present(df: DataFrame, name: str) -> Column:
@@ -25,115 +59,218 @@ def present(df: DataFrame, name: str) -> Column:
     return column
 
 
-def _plain(df: DataFrame, name: str, whole: bool) -> Column:
-    """The column as bigint or double; a double has neither NaN nor -0.0."""
-    return F.col(name).cast("bigint") if whole else present(df, name).cast("double") + 0.0
+def long_rows(df: DataFrame, features: Sequence[str], carried: Sequence[Column], whole: bool = False) -> DataFrame:
+    """(``carried``, feature, value) rows without missing values; a double has neither NaN nor -0.0.
 
+    ``whole``: values as bigint, for integers that a double does not hold.
+    """
+    plain = {name: F.col(name).cast("bigint") if whole else present(df, name).cast("double") + 0.0 for name in features}
+    if len(features) == 1:
+        rows = df.select(*carried, F.lit(features[0]).alias("feature"), plain[features[0]].alias("value"))
+    else:
+        cells = [cell for name in features for cell in (F.lit(name), plain[name])]
+        rows = df.select(*carried, F.stack(F.lit(len(features)), *cells).alias("feature", "value"))
+    return rows.where(F.col("value").isNotNull())
 
-def _rounding(value: float) -> int:
-    """How far a whole number may move when the sketch keeps it as a double."""
-    return (abs(value) >> 52) + 1 if isinstance(value, int) and abs(value) >= 2**53 else 0
 
+def local(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
+    """A small table as a local relation: Spark knows its size and joins by broadcast while it is small."""
+    named = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, to_arrow_schema(schema)), schema)
 
-def _sketched_ranges(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int]
-) -> dict[str, list[tuple[float, float]]]:
-    """Per large column, [low, high] value ranges that contain the wanted ranks.
 
-    The quantile sketch is off by at most ``size / accuracy`` ranks; three times that is allowed on each side.
-    """
-    shares = {
-        name: [place / sizes[name] for place in places] for name, places in ranks.items() if sizes[name] > FOLD_ROWS
-    }
-    if not shares:
-        return {}
-    margin = 3 / _ACCURACY
-    sketched = df.agg(
-        *[
-            F.percentile_approx(
-                name, [max(0.0, s - margin) for s in found] + [min(1.0, s + margin) for s in found], _ACCURACY
-            ).alias(name)
-            for name, found in shares.items()
-        ]
-    ).first()
-    return {
-        name: [
-            (low - _rounding(low), high + _rounding(high))
-            for low, high in zip(sketched[name][: len(found)], sketched[name][len(found) :])
-        ]
-        for name, found in shares.items()
-    }
+def _keyed(df: DataFrame, keys: Sequence[str], *others: tuple[str, str]) -> T.StructType:
+    fields = [T.StructField(key, df.schema[key].dataType) for key in keys]
+    return T.StructType([*fields, *[T.StructField(name, T._parse_datatype_string(kind)) for name, kind in others]])
 
 
-def _cells(df: DataFrame, ranges: Mapping[str, Sequence[tuple[float, float]]]) -> DataFrame:
-    """(feature, cell, value, rows): values inside a range keep their own row, all others share one per gap.
+def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns ``names`` of ``table``, NULL keys being equal."""
+    equal = reduce(and_, [F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys])
+    return rows.alias("l").join(table.alias("r"), equal).select("l.*", *[F.col(f"r.{name}").alias(name) for name in names])
 
-    ``cell`` numbers the stretches between range ends from left to right, so (cell, value) orders like the value.
-    """
-    names = df.columns
-    splits, kept = {}, {}
-    for name, found in ranges.items():
-        ends = {float(low) for low, _ in found} | {nextafter(float(high), inf) for _, high in found}
-        splits[name] = [-inf, *sorted(ends - {-inf, inf}), inf]
-        kept[name] = [
-            cell for cell, start in enumerate(splits[name][:-1]) if any(low <= start <= high for low, high in found)
-        ]
-    folded = [name for name in names if len(splits.get(name, [])) > 2]
-    if folded:
-        df = Bucketizer(
-            splitsArray=[splits[name] for name in folded],
-            inputCols=[f"{name}:place" for name in folded],
-            outputCols=[f"{name}:cell" for name in folded],
-            handleInvalid="keep",
-        ).transform(df.withColumns({f"{name}:place": F.col(name).cast("double") for name in folded}))
-
-    def cell(name: str) -> Column:
-        value = F.col(name)
-        if name not in folded:
-            return F.when(value.isNotNull(), F.struct(F.lit(0).alias("cell"), value.alias("value")))
-        number = F.col(f"{name}:cell").cast("int")
-        inside = F.when(number.isin(kept[name]), value)
-        return F.when(value.isNotNull(), F.struct(number.alias("cell"), inside.alias("value")))
 
+def grid(column: Column, whole: bool = False) -> Column:
+    """Aggregate: approximate quantiles 0, 1 / ``GRID``, ... 1 of the column; NULL where it has no values."""
+    sketched = (F.kll_sketch_agg_bigint if whole else F.kll_sketch_agg_double)(column, F.lit(SKETCH))
+    shares = F.split(F.lit(",".join(str(place / GRID) for place in range(GRID + 1))), ",").cast("array<double>")
+    quantiles = (F.kll_sketch_get_quantile_bigint if whole else F.kll_sketch_get_quantile_double)(sketched, shares)
+    return F.when(F.count(column) > 0, quantiles)
+
+
+def sketched_ranges(found: Sequence[float], rows: int, spots: Sequence[Spot], margin: float) -> list[tuple[float, float]]:
+    """Per spot (first and last rank), two values of the grid ``found`` that have its ranks between them."""
+    slack = rows * margin + 2
+
+    def place(rank: float) -> float:
+        return max(0.0, min(1.0, rank / rows)) * GRID
+
+    return [(found[floor(place(first - slack))], found[ceil(place(last + 1 + slack))]) for first, last in spots]
+
+
+def folded(long: DataFrame, keys: Sequence[str], ranges: Mapping[Key, Sequence[tuple[float, float]]], weights: Sequence[str]) -> DataFrame:
+    """(keys, cell, kept, value, low, weights): ``long`` with all values outside the ranges counted per stretch.
+
+    ``cell`` numbers the stretches between range ends from left to right. ``kept`` ones lie in a range and have a row per
+    value; the others have one row, and ``low`` is their least value.
+    """
+    kind = f"array<{long.schema['value'].dataType.simpleString()}>"
+    rows = [(*key, sorted(low for low, _ in found), sorted(high for _, high in found)) for key, found in ranges.items()]
+    table = local(long.sparkSession, rows, _keyed(long, keys, ("lows", kind), ("highs", kind)))
+    most = max((len(found) for found in ranges.values()), default=1)
+    value = F.col("value")
+    reached = reduce(add, [F.coalesce((value >= F.get("lows", F.lit(n))).cast("int"), F.lit(0)) for n in range(most)])
+    left = reduce(add, [F.coalesce((value > F.get("highs", F.lit(n))).cast("int"), F.lit(0)) for n in range(most)])
     return (
-        df.select(*[cell(name).alias(name) for name in names])
-        .unpivot([], list(names), "feature", "at")
-        .where(F.col("at").isNotNull())
-        .groupBy("feature", "at.cell", "at.value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        attach(long, table, keys, ["lows", "highs"])
+        .select(*keys, "value", *weights, reached.alias("reached"), left.alias("left"))
+        .groupBy(
+            *keys,
+            (F.col("reached") + F.col("left")).alias("cell"),
+            (F.col("reached") > F.col("left")).alias("kept"),
+            F.when(F.col("reached") > F.col("left"), value).alias("at"),
+        )
+        .agg(F.min("value").alias("low"), *[F.sum(name).alias(name) for name in weights])
+        .withColumnRenamed("at", "value")
     )
 
 
-def values_at_ranks(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], sizes: Mapping[str, int] | None = None, fold: bool = True
-) -> dict[str, dict[int, float]]:
+class Selector:
+    """The reduced table of one pass, and the exact values at ranks by the first of ``weights``."""
+
+    def __init__(self, long: DataFrame, keys: Sequence[str], ranges: Mapping[Key, Sequence[tuple[float, float]]], weights: Sequence[str]):
+        self.keys, self.weights = list(keys), list(weights)
+        self.reduced = folded(long, keys, ranges, weights).persist(StorageLevel.MEMORY_AND_DISK)
+        self.cells: dict[Key, list[Cell]] = {}
+        per_cell = self.reduced.groupBy(*keys, "cell", "kept").agg(
+            *[F.sum(name).alias(name) for name in weights], F.count(F.lit(1)).alias("_values"), F.min("low").alias("low")
+        )
+        for row in sorted(per_cell.collect(), key=lambda row: row["cell"]):
+            found = self.cells.setdefault(tuple(row[key] for key in keys), [])
+            before = found[-1].before + found[-1].weights[0] if found else 0
+            found.append(Cell(row["cell"], row["kept"], tuple(row[name] for name in weights), row["_values"], row["low"], before))
+
+    def release(self) -> None:
+        self.reduced.unpersist()
+
+    def _holding(self, key: Key, rank: int) -> tuple[int, Cell]:
+        return next((n, cell) for n, cell in enumerate(self.cells[key]) if rank < cell.before + cell.weights[0])
+
+    def holds(self, key: Key, spot: Spot) -> bool:
+        """Whether both ranks and all rows between them lie in ranges."""
+        first, last = (self._holding(key, rank)[0] for rank in spot)
+        return all(cell.kept for cell in self.cells[key][first : last + 1])
+
+    def values(self, ranks: Mapping[Key, Iterable[int]]) -> dict[Key, dict[int, float]]:
+        """Per key, the value at each rank. All ranks must lie in ranges."""
+        targets = []
+        for key, wanted in ranks.items():
+            for rank in sorted(set(wanted)):
+                cell = self._holding(key, rank)[1]
+                targets.append((key, str(cell.number), rank, rank - cell.before, cell.values))
+        rows = self.reduced.where("kept").select(
+            *self.keys, F.col("cell").cast("string").alias("path"), "value", F.col(self.weights[0]).alias("weight")
+        )
+        result: dict[Key, dict[int, float]] = {key: {} for key in ranks}
+        held = []
+        while targets:
+            small = [target for target in targets if target[4] <= CELL_ROWS]
+            for row in self._ordered(rows, small).collect() if small else ():
+                result[tuple(row[key] for key in self.keys)][row["rank"]] = row["value"]
+            targets = [target for target in targets if target[4] > CELL_ROWS]
+            if targets:
+                rows, targets = self._narrowed(rows, targets)
+                held.append(rows)
+        for frame in held:
+            frame.unpersist()
+        return result
+
+    def _paths(self, rows: DataFrame, targets: Sequence[tuple]) -> DataFrame:
+        """The rows of the targeted parts."""
+        paths = {(*key, path) for key, path, *_ in targets}
+        return attach(rows, local(rows.sparkSession, paths, _keyed(rows, [*self.keys, "path"])), [*self.keys, "path"], [])
+
+    def _ordered(self, rows: DataFrame, targets: Sequence[tuple]) -> DataFrame:
+        """(keys, rank, value): the values of the parts in order, and those at the targets' offsets."""
+        path = [*self.keys, "path"]
+        along = Window.partitionBy(*path).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        placed = self._paths(rows, targets).withColumn("before", F.coalesce(F.sum("weight").over(along), F.lit(0)))
+        wanted = [(*key, at, rank, offset) for key, at, rank, offset, _ in targets]
+        table = local(rows.sparkSession, wanted, _keyed(rows, path, ("rank", "bigint"), ("offset", "bigint")))
+        here = (F.col("before") <= F.col("offset")) & (F.col("offset") < F.col("before") + F.col("weight"))
+        return attach(placed, table, path, ["rank", "offset"]).where(here).select(*self.keys, "rank", "value")
+
+    def _narrowed(self, rows: DataFrame, targets: Sequence[tuple]) -> tuple[DataFrame, list[tuple]]:
+        """Every targeted part cut into equal widths between its least and greatest value; the pieces that hold the ranks.
+
+        The greatest value is a piece of its own, so each turn takes values off, whatever their distribution.
+        """
+        path = [*self.keys, "path"]
+        needed = self._paths(rows, targets)
+        ends = needed.groupBy(*path).agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+        bounds = local(rows.sparkSession, ends.collect(), ends.schema)
+
+        def above(name: str) -> Column:
+            """Half the distance from the least value; whole numbers are subtracted as such, unless that overflows."""
+            halves = F.col(name).cast("double") / 2 - F.col("_low").cast("double") / 2
+            whole = isinstance(rows.schema["value"].dataType, T.LongType)
+            return F.coalesce(F.try_subtract(F.col(name), F.col("_low")).cast("double") / 2, halves) if whole else halves
+
+        share = F.coalesce(F.try_divide(above("value"), above("_high")), F.lit(0.0))
+        piece = F.when(F.col("value") == F.col("_high"), _PIECES).otherwise(F.least(F.lit(_PIECES - 1), F.floor(share * _PIECES)))
+        longer = F.concat_ws(".", "path", piece.cast("int")).alias("path")
+        cut = attach(needed, bounds, path, ["_low", "_high"]).select(*self.keys, longer, "value", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+        pieces: dict[tuple, list[tuple[int, int, int]]] = {}
+        for row in cut.groupBy(*path).agg(F.sum("weight").alias("rows"), F.count(F.lit(1)).alias("size")).collect():
+            at, _, number = row["path"].rpartition(".")
+            pieces.setdefault((tuple(row[key] for key in self.keys), at), []).append((int(number), row["rows"], row["size"]))
+        chosen = []
+        for key, at, rank, offset, _ in targets:
+            for number, count, size in sorted(pieces[key, at]):
+                if offset < count:
+                    chosen.append((key, f"{at}.{number}", rank, offset, size))
+                    break
+                offset -= count
+        return cut, chosen
+
+
+def selector(
+    long: DataFrame,
+    keys: Sequence[str],
+    ranges: Callable[[float], Mapping[Key, Sequence[tuple[float, float]]]],
+    spots: Mapping[Key, Sequence[Spot]],
+    weights: Sequence[str],
+) -> Selector:
+    """A selector in which every spot is held. ``ranges``: from a margin to the ranges per key."""
+    for margin in MARGINS:
+        found = Selector(long, keys, ranges(margin), weights)
+        if all(found.holds(key, spot) for key, wanted in spots.items() for spot in wanted):
+            break
+        found.release()
+    return found
+
+
+def values_at_ranks(df: DataFrame, ranks: Mapping[str, Sequence]) -> dict[str, dict[int, float]]:
     """Exact value at each 0-based rank of the sorted non-missing values of each numeric column.
 
-    Equal values are counted together before anything is shuffled, and the running count is range-partitioned,
-    so neither a dominant value nor a dominant column lands in one task. Only the wanted values are collected.
-    Should a rank lie outside its sketched range, its column is ranked once more with every value kept.
+    ``ranks`` may also hold functions from the number of values to a rank; they are told it by the sketching pass.
     """
     names = list(ranks)
     whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in names)
-    values = df.select(*[_plain(df, name, whole).alias(name) for name in names])
-    if sizes is None:
-        sizes = values.agg(*[F.count(name).alias(name) for name in names]).first().asDict()
-    cells = _cells(values, _sketched_ranges(values, ranks, sizes) if fold else {})
-    placed = ordered_prefix(cells, [F.col("cell"), F.col("value")], {"before": "rows"}, ["feature"])
-    wanted = df.sparkSession.createDataFrame(
-        [(name, rank) for name, positions in ranks.items() for rank in sorted(set(positions))],
-        "feature string, rank bigint",
-    )
-    found = (
-        placed.join(F.broadcast(wanted), "feature")
-        .where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("rows")))
-        .select("feature", "rank", "value")
-        .collect()
-    )
-    result: dict[str, dict[int, float]] = {name: {} for name in names}
-    for row in found:
-        result[row["feature"]][row["rank"]] = row["value"]
-    missed = {row["feature"]: ranks[row["feature"]] for row in found if row["value"] is None}
-    if missed:
-        result.update(values_at_ranks(df, missed, sizes, fold=False))
-    return result
+    long = long_rows(df, names, [], whole)
+    profile = {
+        (row["feature"],): (row["rows"], row["grid"])
+        for row in long.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), grid(F.col("value"), whole).alias("grid")).collect()
+    }
+    wanted = {
+        key: [rank(rows) if callable(rank) else rank for rank in ranks[key[0]]] for key, (rows, _) in profile.items()
+    }
+    spots = {key: [(rank, rank) for rank in found] for key, found in wanted.items()}
+
+    def ranges(margin: float) -> dict[Key, list[tuple[float, float]]]:
+        return {key: sketched_ranges(found, rows, spots[key], margin) for key, (rows, found) in profile.items()}
+
+    chosen = selector(long.withColumn("rows", F.lit(1).cast("bigint")), ["feature"], ranges, spots, ["rows"])
+    values = chosen.values(wanted)
+    chosen.release()
+    return {name: values.get((name,), {}) for name in names}

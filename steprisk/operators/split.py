@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,69 +10,70 @@ from steprisk.operators.ranks import present, values_at_ranks
 from steprisk.schema import REFERENCE_END_STEP
 
 
-def step_histogram(df: DataFrame, time_column: str = "step") -> DataFrame:
-    """(step, rows, earlier rows, all rows). One row per distinct step: the windows over it stay small."""
-    ordered = Window.orderBy(time_column).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        df.where(F.col(time_column).isNotNull())
-        .groupBy(time_column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumns(
-            {
-                "earlier": F.coalesce(F.sum("rows").over(ordered), F.lit(0)),
-                "total": F.sum("rows").over(Window.partitionBy()),
-            }
-        )
-    )
+_WHOLE = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A date as days and a timestamp as microseconds, so that any time column can be ranked as a number."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.convert_timezone(F.lit("UTC"), F.lit("UTC"), F.col(name)).cast("timestamp"))
+    return F.col(name)
 
 
-def cutoff_row(df: DataFrame, fraction: float, time_column: str = "step") -> DataFrame:
-    """The histogram row holding 0-based position ``int(rows * fraction)`` of the sorted column, if any.
+def cutoff_row(df: DataFrame, fraction: float, time_column: str = "step") -> dict | None:
+    """``time_column`` at 0-based position ``int(rows * fraction)`` of the sorted column, that position, and whether rows lie before it.
 
-    Counting per step and summing the counts replaces a global sort of the rows.
+    Two levels of counting replace a sort and a window over all times: rows per range of times, then the times of the range
+    that holds the position (``ranks``). Rows without a time are left out; NULL for a table without times.
     """
-    position = F.floor(F.col("total") * F.lit(float(fraction)))
-    return step_histogram(df, time_column).withColumn("position", position).where(
-        (F.col("earlier") <= F.col("position")) & (F.col("position") < F.col("earlier") + F.col("rows"))
-    )
+    timed = df.where(present(df, time_column).isNotNull())
+    number = _as_number(df, time_column)
+    if isinstance(df.schema[time_column].dataType, _WHOLE):
+        number = number.cast("bigint")
+    numbers = timed.select(number.alias("at"))
+    told = {}
+
+    def position(rows: int) -> int:
+        told["rows"] = rows
+        return int(rows * fraction)
+
+    found = values_at_ranks(numbers, {"at": [position, lambda rows: 0]})["at"]
+    if not found:
+        return None
+    rank = int(told["rows"] * fraction)
+    value = found[rank]
+    # Only the wanted value goes back to the column's own type.
+    kept = timed.where(number == F.lit(value)).select(time_column).first()[0]
+    return {time_column: kept, "position": rank, "earlier": found[0] < value}
 
 
 def split_guards(df: DataFrame, train_fraction: float = 0.8, time_column: str = "step") -> int:
-    """The cutoff step, or an error when a strict split at it is impossible.
+    """The cutoff time, or an error when a strict split at it is impossible.
 
-    Everything is read off one small histogram row. A cutoff taken from the data always has rows at or after
-    it, and sides defined by ``<`` and ``>=`` cannot overlap, so only the train side can turn out empty.
+    A cutoff taken from the data always has rows at or after it, and sides defined by ``<`` and ``>=`` cannot overlap, so
+    only the train side can turn out empty.
     """
     if not 0 < train_fraction < 1:
         raise ValueError("train_fraction must lie strictly between 0 and 1")
     if time_column not in df.columns:
         raise ValueError(f"no such column: {time_column}")
-    if isinstance(df.schema[time_column].dataType, (T.LongType, T.FractionalType)):
-        found = _ranked_cutoff(df, train_fraction, time_column)
-    else:
-        found = cutoff_row(df, train_fraction, time_column).first()
+    found = cutoff_row(df, train_fraction, time_column)
     if found is None:
         raise ValueError("nothing to split")
     if found["position"] == 0:
         raise ValueError("too few rows for this fraction")
-    if found["earlier"] == 0:
+    if not found["earlier"]:
         raise ValueError(f"no rows before the cutoff {found[time_column]}")
     return found[time_column]
 
 
-def _ranked_cutoff(df: DataFrame, fraction: float, time_column: str) -> dict | None:
-    """As ``cutoff_row`` for a fine-grained time column, which may have as many values as rows."""
-    rows = df.where(present(df, time_column).isNotNull()).count()
-    if rows == 0:
-        return None
-    position = int(rows * fraction)
-    value = values_at_ranks(df, {time_column: [position]}, {time_column: rows})[time_column][position]
-    earlier = df.where(F.col(time_column) < value).limit(1).count()
-    return {time_column: value, "position": position, "earlier": earlier}
-
-
 def cutoff_step(df: DataFrame, train_fraction: float = 0.8, time_column: str = "step") -> int:
-    """The step at which the test side starts."""
+    """The time at which the test side starts: a step, or a value of whatever type the column has."""
     return split_guards(df, train_fraction, time_column)
 
 
@@ -100,13 +101,14 @@ def positional_split(
     The boundary is found by exact rank selection on the row key; both sides are plain filters. ``row_key`` must be a
     unique number; rows without one come last.
     """
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count(row_key).alias("keyed")).first()
-    rank = int(counts["rows"] * train_fraction)
-    if rank >= counts["keyed"]:
+    rows = df.count()
+    rank = int(rows * train_fraction)
+    # The last rank stands in where all rows with a key are on the first side.
+    found = values_at_ranks(df, {row_key: [lambda keyed: min(rank, keyed - 1), lambda keyed: keyed - 1]})[row_key]
+    if rank not in found:
         first = F.col(row_key).isNotNull()
     else:
-        key = values_at_ranks(df, {row_key: [rank]}, {row_key: counts["keyed"]})[row_key][rank]
-        first = F.coalesce(F.col(row_key) < key, F.lit(False))
+        first = F.coalesce(F.col(row_key) < found[rank], F.lit(False))
     return df.where(first), df.where(~first)
 
 

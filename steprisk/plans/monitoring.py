@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +12,10 @@ from steprisk.functions.rowfeatures import drift_features
 from steprisk.operators.drift import (
     SCORE_FEATURE,
     categorical_total_variation,
-    label_shift,
+    counted_label_shift,
+    counted_total_variation,
     numeric_drift,
-    window_profile,
+    window_counts,
 )
 from steprisk.operators.metrics import heldout_performance
 from steprisk.operators.split import fixed_windows
@@ -26,19 +27,19 @@ def drift_metrics(
     numeric: Sequence[str],
     categorical: str | None = "type",
     score: str | None = None,
-    totals: Mapping[str, int] | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Metric rows of all numeric features, the categorical one and, if there is one, the score.
+    """Metric rows of all numeric features, the score, if there is one, and the categorical feature.
 
-    The score is one more numeric column, so it shares the scans of the others.
+    The score is one more numeric column, so it shares the scans of the others. ``by``: segments, of numeric features only.
     """
     numeric = list(numeric)
     if score is not None:
         windowed = windowed.withColumnRenamed(score, SCORE_FEATURE)
         numeric.append(SCORE_FEATURE)
-    metrics = numeric_drift(windowed, numeric)
-    if categorical is not None:
-        metrics = metrics.unionByName(categorical_total_variation(windowed, categorical, totals))
+    metrics = numeric_drift(windowed, numeric, by=by)
+    if categorical is not None and not by:
+        metrics = metrics.unionByName(categorical_total_variation(windowed, categorical))
     return metrics
 
 
@@ -58,25 +59,35 @@ def drift_report(
     """One nested report row for a scored feature table.
 
     What is gathered are a few dozen numbers: a metric row per feature and one row each for labels, held-out
-    performance and windows. Scores and features are read in several passes, so ``scored`` should be a stored
-    table (see ``store_scores``), not a plan that runs the model again each time.
+    performance and windows. Passes: one that counts by window and type, two for all numeric features and the score, and the narrow
+    ones of the ranking metrics over the current window. ``scored`` should be a stored table (see ``store_scores``), not
+    a plan that runs the model again each time.
     """
     spark = scored.sparkSession
     windowed = fixed_windows(drift_features(scored), cutoff)
-    windows = {row["window"]: row for row in window_profile(windowed).collect()}
+    counts = window_counts(windowed).persist()
+    windows = {
+        row["window"]: row
+        for row in counts.groupBy("window")
+        .agg(F.sum("rows").alias("rows"), F.min("min_step").alias("min_step"), F.max("max_step").alias("max_step"))
+        .collect()
+    }
     if len(windows) < 2:
         raise ValueError(f"step {cutoff} leaves an empty window")
     reference, current = windows["reference"], windows["current"]
     totals = {name: row["rows"] for name, row in windows.items()}
     order = {name: place for place, name in enumerate([*numeric, "type", SCORE_FEATURE])}
-    rows = [row.asDict() for row in drift_metrics(windowed, numeric, "type", score, totals).collect()]
+    measured = drift_metrics(windowed, numeric, None, score).unionByName(counted_total_variation(counts, "type", totals))
+    rows = [row.asDict() for row in measured.collect()]
     metrics = sorted(rows, key=lambda row: order[row["feature"]])
+    labels = counted_label_shift(counts).first().asDict()
+    counts.unpersist()
     report = {
         "reference_rows": reference["rows"],
         "current_rows": current["rows"],
         "overall_severity": max((row["severity"] for row in metrics), key=SEVERITIES.index, default=SEVERITIES[0]),
         "metrics": metrics,
-        "label_monitoring": label_shift(windowed).first().asDict(),
+        "label_monitoring": labels,
         "heldout_performance": heldout_performance(
             windowed.where(F.col("window") == "current"), threshold, score
         ).first().asDict(),

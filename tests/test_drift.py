@@ -63,10 +63,10 @@ def test_shifted_window(spark):
     assert row.value >= 0.25 and row.severity == "HIGH"
 
 
-@pytest.mark.parametrize("fold_rows", [50, 10**9])
+@pytest.mark.parametrize("cell_rows", [5, 10**6])
 @pytest.mark.parametrize("seed", range(3))
-def test_index_matches_pandas(spark, monkeypatch, seed, fold_rows):
-    monkeypatch.setattr(ranks, "FOLD_ROWS", fold_rows)
+def test_index_matches_pandas(spark, monkeypatch, seed, cell_rows):
+    monkeypatch.setattr(ranks, "CELL_ROWS", cell_rows)
     chance = random.Random(seed)
     reference = [chance.choice([chance.gauss(0, 1), round(chance.gauss(0, 1), 1), 0.0]) for _ in range(777)]
     current = [chance.gauss(0.3, 1.2) for _ in range(500)]
@@ -76,6 +76,10 @@ def test_index_matches_pandas(spark, monkeypatch, seed, fold_rows):
     assert edges == sorted(set(pd.Series(reference, dtype=float).quantile(np.linspace(0, 1, 11))))
     value = drift.psi(drift.psi_bin_counts(df, {"x": edges})).first().psi
     assert value == pytest.approx(by_hand(reference, current), abs=1e-12)
+    found = drift.BinEdges(df, ["x"])
+    in_one_pass = {(r.bin, r.reference, r.current) for r in found.bin_counts().collect()}
+    assert in_one_pass == {(r.bin, r.reference, r.current) for r in drift.psi_bin_counts(df, {"x": edges}).collect()}
+    found.release()
 
 
 @pytest.mark.parametrize(
@@ -142,3 +146,52 @@ def test_several_features_at_once(spark):
     rows = {r.feature: r for r in drift.numeric_drift(df, ["a", "b"]).collect()}
     assert set(rows) == {"a", "b"}
     assert rows["b"].value == round(by_hand([i % 2 for i in range(50)], [1] * 50), 6)
+
+
+def test_segments_have_edges_of_their_own(spark):
+    """One call for all segments equals one call per segment, a NULL segment and degenerate ones included."""
+    chance = random.Random(9)
+    rows = []
+    for segment in ("a", "b", None, "flat", "alone", "hole"):
+        for window, count, shift in (("reference", 400, 0.0), ("current", 300, 0.4)):
+            if segment == "alone" and window == "current":
+                continue
+            for _ in range(count):
+                value = {"flat": 2.0, "b": float(chance.random() < 0.4 + shift / 4), "hole": None}.get(segment, chance.gauss(shift, 1))
+                rows.append((segment, window, value, chance.gauss(0, 1)))
+    df = spark.createDataFrame(rows, "segment string, window string, x double, y double")
+    found = {(r.segment, r.feature): (r.value, r.severity) for r in drift.numeric_drift(df, ["x", "y"], by=["segment"]).collect()}
+    assert len(found) == 12
+    for segment in ("a", "b", None, "flat", "alone", "hole"):
+        part = df.where(F.col("segment").eqNullSafe(F.lit(segment)))
+        for row in drift.numeric_drift(part, ["x", "y"]).collect():
+            assert found[segment, row.feature] == (row.value, row.severity)
+    assert drift.numeric_drift(df.limit(0), ["x"], by=["segment"]).collect() == []
+
+
+def test_quantiles_between_two_values(spark):
+    """Reference of two values, current between them: the edge that is interpolated separates what lies between."""
+    reference, current = [0.0] * 95 + [1.0] * 5, [0.1, 0.2, 0.5, 0.9, 0.97, 1.0, 0.0, 2.0, -1.0]
+    for shift in range(6):
+        ref = reference[shift:]
+        assert measured(spark, ref, current).value == round(by_hand(ref, current), 6)
+
+
+def test_counts_by_window_give_the_single_operators(spark):
+    rows = [("reference", "a", 1, 0), ("reference", None, 2, 1), ("current", "b", 3, None), ("current", "a", 4, 1), ("current", "a", 9, 0)]
+    df = spark.createDataFrame(rows, "window string, type string, step int, isFraud int")
+    counts = drift.window_counts(df)
+    totals = {"reference": 2, "current": 3}
+    assert drift.counted_total_variation(counts, "type", totals).collect() == drift.categorical_total_variation(df).collect()
+    assert drift.counted_label_shift(counts).collect() == drift.label_shift(df).collect()
+
+
+def test_drift_reads_the_table_twice(spark, tmp_path):
+    """One scan for sketches, one for counts; no window without a partition and nothing sorted globally."""
+    path = str(tmp_path / "t")
+    spark.range(20_000).selectExpr("IF(id < 12000, 'reference', 'current') AS window", "rand(1) AS x", "id % 7 AS y").write.parquet(path)
+    found = drift.BinEdges(spark.read.parquet(path), ["x", "y"])
+    plan = found.selector.reduced._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan
+    assert found.selector.reduced.count() < 3_000 and not found.later
+    found.release()

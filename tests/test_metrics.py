@@ -116,3 +116,57 @@ def test_heldout_record(four):
     row = metrics.heldout_performance(four, 0.5).first()
     assert (row.evaluation_window, row["rows"], row.fraud_cases) == ("held_out_current_window", 4, 2)
     assert (row.true_positives, row.false_positives, row.roc_auc) == (1, 1, 0.75)
+
+
+def test_curve_with_frequent_missing_and_odd_scores(spark):
+    """Frequent values have buckets of their own; missing scores come last, NaN first, groups may be NULL."""
+    chance = random.Random(4)
+    nan, inf = float("nan"), float("inf")
+    rows = []
+    for _ in range(3000):
+        score = chance.choice([0.0, -0.0, 0.25, 0.25, chance.random(), round(chance.random(), 2), None, nan, inf, -inf])
+        rows.append((chance.choice(["a", "b", None]), int(chance.random() < 0.3), score))
+    df = spark.createDataFrame(rows, "g string, isFraud int, score double")
+    got = {}
+    for row in metrics.score_curve(df, by=["g"]).collect():
+        key = (row.g, "nan" if row.score != row.score else row.score) if row.score is not None else (row.g, None)
+        assert key not in got
+        got[key] = (row.pos, row.neg, row.pos_above, row.neg_above)
+
+    def rank(score):
+        return (0, 0) if score is None else (2, 0) if score == "nan" else (1, score + 0.0)
+
+    want = {}
+    for group in ("a", "b", None):
+        counts = {}
+        for g, label, score in rows:
+            if g == group:
+                score = "nan" if score is not None and score != score else score
+                found = counts.setdefault(rank(score), [score if score in (None, "nan") else score + 0.0, 0, 0])
+                found[2 - label] += 1
+        pos = neg = 0
+        for key in sorted(counts, reverse=True):
+            score, here, wrong = counts[key]
+            want[group, score] = (here, wrong, pos, neg)
+            pos, neg = pos + here, neg + wrong
+    assert got == want
+
+
+def test_curve_exchanges_detail_rows_once(spark, tmp_path):
+    """One hash exchange by bucket serves counting, running totals and the join with offsets; no range shuffle, no checkpoint."""
+    path = str(tmp_path / "scores")
+    spark.range(50_000).selectExpr("CAST(rand(3) AS DOUBLE) AS score", "CAST(rand(4) < 0.1 AS INT) AS isFraud").write.parquet(path)
+    plan = metrics.score_curve(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan
+    assert plan.count("REPARTITION_BY_COL") == 1
+    detail = plan[: plan.index("REPARTITION_BY_COL")]
+    detail = detail[detail.rindex("Window") :]
+    assert "Exchange" in detail and detail.count("Exchange") == 1  # between the running totals and the scan
+
+
+def test_curve_of_nothing(spark):
+    empty = scored(spark, [], [])
+    assert metrics.score_curve(empty).collect() == []
+    assert metrics.roc_auc(empty).first()[0] is None
+    nothing = scored(spark, [1, 0], [None, None])
+    assert [tuple(row) for row in metrics.score_curve(nothing).collect()] == [(None, 1, 1, 0, 0)]

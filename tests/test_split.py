@@ -73,10 +73,10 @@ def test_fixed_windows(spark):
     assert [(r.step, r.window) for r in rows] == [(354, "reference"), (355, "current")]
 
 
-@pytest.mark.parametrize("fold_rows", [10, 10**9])
-def test_values_at_ranks(spark, monkeypatch, fold_rows):
-    """The folded and the plain path give the sorted values, for several columns with holes and ties at once."""
-    monkeypatch.setattr(ranks, "FOLD_ROWS", fold_rows)
+@pytest.mark.parametrize("cell_rows", [7, 10**6])
+def test_values_at_ranks(spark, monkeypatch, cell_rows):
+    """With and without cutting stretches into pieces: the sorted values, for several columns with holes and ties at once."""
+    monkeypatch.setattr(ranks, "CELL_ROWS", cell_rows)
     df = spark.range(20_000).select(
         ((F.col("id") * 7919) % 20_011 / 7.0).alias("a"),
         F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise((F.col("id") * 31) % 101).alias("b"),
@@ -92,13 +92,57 @@ def test_values_at_ranks(spark, monkeypatch, fold_rows):
 
 
 def test_ranks_outside_their_sketched_ranges(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "_sketched_ranges", lambda *_: {"a": [(3.0, 4.0)], "b": [(0.0, 1e9)]})
+    """Ranges that miss their ranks are widened until they hold them."""
+    right, turns = ranks.sketched_ranges, []
+
+    def wrong(found, rows, spots, margin):
+        turns.append(margin)
+        return [(found[-1], found[-1])] if margin < 1 else right(found, rows, spots, margin)
+
+    monkeypatch.setattr(ranks, "sketched_ranges", wrong)
     df = spark.range(100).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("b"))
     wanted = {"a": [0, 3, 50], "b": [0, 99]}
     assert ranks.values_at_ranks(df, wanted) == {"a": {0: 0.0, 3: 3.0, 50: 50.0}, "b": {0: 0.0, 99: 198.0}}
-
-
-def test_ranks_of_large_integers(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "FOLD_ROWS", 10)
-    df = spark.range(5_000).select((F.col("id") + 2**60).alias("k"))
-    assert ranks.values_at_ranks(df, {"k": [0, 2_500, 4_999]})["k"] == {p: 2**60 + p for p in (0, 2_500, 4_999)}
+    assert set(turns) == set(ranks.MARGINS)
+
+
+@pytest.mark.parametrize("cell_rows", [3, 10**6])
+def test_ranks_of_large_integers_and_wide_doubles(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(ranks, "CELL_ROWS", cell_rows)
+    df = spark.range(500).select((F.col("id") + 2**60).alias("k"))
+    assert ranks.values_at_ranks(df, {"k": [0, 250, 499]})["k"] == {p: 2**60 + p for p in (0, 250, 499)}
+    wide = sorted([-1.7e308, 1.7e308, float("inf"), -0.0, 5e-324, 1e-300, 3.0] + [n / 7 for n in range(20)])
+    found = ranks.values_at_ranks(spark.createDataFrame([(v,) for v in wide], "v double"), {"v": range(len(wide))})["v"]
+    assert [found[n] for n in range(len(wide))] == wide
+
+
+def test_few_ranges_are_kept(spark):
+    """The reduced table holds a small part of the distinct values, whatever their number."""
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    profile = ranks.long_rows(df, ["v"], []).agg(ranks.grid(F.col("value")).alias("grid")).first()["grid"]
+    spots = [(100_000, 100_001)]
+    ends = {("v",): ranks.sketched_ranges(profile, 200_000, spots, ranks.MARGINS[0])}
+    long = ranks.long_rows(df, ["v"], []).withColumn("rows", F.lit(1))
+    chosen = ranks.Selector(long, ["feature"], ends, ["rows"])
+    assert chosen.holds(("v",), spots[0]) and chosen.reduced.count() < 4_000
+    assert sum(cell.weights[0] for cell in chosen.cells["v",]) == 200_000
+    chosen.release()
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "date", "timestamp", "timestamp_ntz", "double"])
+def test_cutoff_of_any_time_type(spark, kind):
+    """Fine times of every type: the value at the position, in the column's own type."""
+    days = "date_add(DATE'1969-12-01', CAST(id % 97 AS INT))"
+    made = {
+        "int": "CAST(1700000000 + (id * 7919) % 1000 AS INT)", "bigint": "9007199254740993 + (id * 7919) % 1000", "date": days,
+        "timestamp": f"CAST({days} AS TIMESTAMP) + make_interval(0, 0, 0, 0, 0, 0, id / 1000)",
+        "timestamp_ntz": f"CAST({days} AS TIMESTAMP_NTZ) + make_interval(0, 0, 0, 0, 0, 0, id / 1000)",
+        "double": "IF(id % 50 = 0, CAST('NaN' AS DOUBLE), id % 313 / 7)",
+    }
+    df = spark.range(1_000).select("id", F.expr(made[kind]).alias("at"))
+    times = sorted(row["at"] for row in df.collect() if row["at"] == row["at"])
+    train, test, cutoff = split.strict_time_split(df, 0.8, "at")
+    assert cutoff == times[int(len(times) * 0.8)]
+    assert train.count() == sum(time < cutoff for time in times)
+    plan = df.where(F.col("at") < cutoff)._jdf.queryExecution().toString()
+    assert "Window" not in plan
