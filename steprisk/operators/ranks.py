@@ -163,15 +163,17 @@ class Selector:
 
     def values(self, ranks: Mapping[Key, Iterable[int]]) -> dict[Key, dict[int, float]]:
         """Per key, the value at each rank. All ranks must lie in ranges."""
-        targets = []
+        targets, result = [], {key: {} for key in ranks}
         for key, wanted in ranks.items():
             for rank in sorted(set(wanted)):
                 cell = self._holding(key, rank)[1]
-                targets.append((key, str(cell.number), rank, rank - cell.before, cell.values))
+                if cell.values == 1:
+                    result[key][rank] = cell.low
+                else:
+                    targets.append((key, str(cell.number), rank, rank - cell.before, cell.values))
         rows = self.reduced.where("kept").select(
             *self.keys, F.col("cell").cast("string").alias("path"), "value", F.col(self.weights[0]).alias("weight")
         )
-        result: dict[Key, dict[int, float]] = {key: {} for key in ranks}
         held = []
         while targets:
             small = [target for target in targets if target[4] <= CELL_ROWS]

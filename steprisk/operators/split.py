@@ -47,9 +47,12 @@ def cutoff_row(df: DataFrame, fraction: float, time_column: str = "step") -> dic
         return None
     rank = int(told["rows"] * fraction)
     value = found[rank]
-    # Only the wanted value goes back to the column's own type.
-    kept = timed.where(number == F.lit(value)).select(time_column).first()[0]
-    return {time_column: kept, "position": rank, "earlier": found[0] < value}
+    kind = df.schema[time_column].dataType
+    if not isinstance(kind, T.NumericType):  # a date or timestamp again, by one row that holds it
+        at = timed.where(number == F.lit(value)).select(time_column).first()[0]
+    else:
+        at = int(value) if isinstance(kind, T.IntegralType) else value
+    return {time_column: at, "position": rank, "earlier": found[0] < value}
 
 
 def split_guards(df: DataFrame, train_fraction: float = 0.8, time_column: str = "step") -> int:
