@@ -65,14 +65,21 @@ def type_indicator(name: str) -> Column:
     return F.coalesce((F.col("type") == name).cast("int"), F.lit(0)).alias(f"type_{name}")
 
 
+# Learned types that become columns at most.
+MOST_TYPES = 1_000
+
+
 def type_one_hot(names: Sequence[str] = TRANSACTION_TYPES) -> list[Column]:
     """One 0/1 column per name; an unknown or NULL type is all zeros."""
     return [type_indicator(name) for name in names]
 
 
 def learned_types(train: DataFrame) -> list[str]:
-    """Types seen in training, sorted; each becomes a column."""
-    return sorted(row["type"] for row in train.where("type IS NOT NULL").select("type").distinct().collect())
+    """Types seen in training, sorted; each becomes a column. More than ``MOST_TYPES`` are an error, not a model's input."""
+    found = train.where("type IS NOT NULL").select("type").distinct().limit(MOST_TYPES + 1).collect()
+    if len(found) > MOST_TYPES:
+        raise ValueError(f"more than {MOST_TYPES} types: too many to become columns")
+    return sorted(row["type"] for row in found)
 
 
 def transaction_features(df: DataFrame) -> DataFrame:

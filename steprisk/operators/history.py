@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from steprisk.operators.skew import HOT_ROWS, complete, heavy_keys, is_heavy, skew_left_join
+from steprisk.operators.skew import HOT, HOT_ROWS, complete, heavy_keys, skew_left_join, with_hot
 
 ORIGIN = ["nameOrig"]
 PAIR = ["nameOrig", "nameDest"]
@@ -220,9 +220,9 @@ def step_history(
     (accounts,) = heavy_keys(df, [ORIGIN], hot_rows)
     if not accounts:
         return direct_history(df, row_key, amount_scale)
-    hot = is_heavy(ORIGIN, accounts)
-    return direct_history(df.where(~hot), row_key, amount_scale).unionByName(
-        grouped_history(df.where(hot), row_key, amount_scale, hot_rows)
+    marked = with_hot(df, ORIGIN, accounts)
+    return direct_history(marked.where(~F.col(HOT)).drop(HOT), row_key, amount_scale).unionByName(
+        grouped_history(marked.where(HOT).drop(HOT), row_key, amount_scale, hot_rows)
     )
 
 

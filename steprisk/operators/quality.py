@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from steprisk.schema import TRANSACTION_TYPES, TRANSACTIONS
 
 
+# Invalid values that an error names.
+SHOWN_VALUES = 100
+
+
 def missing_columns(df: DataFrame, expected: Iterable[str] = tuple(TRANSACTIONS.fieldNames())) -> list[str]:
     """Expected columns the table lacks, sorted. Looks at the schema only; further columns are fine."""
     return sorted(set(expected) - set(df.columns))
@@ -30,10 +34,11 @@ def invalid_targets(df: DataFrame, label: str = "isFraud") -> DataFrame:
 
 
 def validate_target(df: DataFrame, label: str = "isFraud") -> DataFrame:
-    """The table itself, or an error with all invalid label values."""
-    wrong = sorted(row[0] for row in invalid_targets(df, label).collect())
+    """The table itself, or an error with the invalid label values: the least ``SHOWN_VALUES``, and whether there are more."""
+    wrong = [row[0] for row in invalid_targets(df, label).orderBy(label).limit(SHOWN_VALUES + 1).collect()]
     if wrong:
-        raise ValueError(f"invalid {label} values: {wrong}")
+        more = " and more" if len(wrong) > SHOWN_VALUES else ""
+        raise ValueError(f"invalid {label} values: {wrong[:SHOWN_VALUES]}{more}")
     return df
 
 

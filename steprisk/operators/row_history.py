@@ -17,7 +17,7 @@ from steprisk.operators.history import (
     summable,
 )
 from steprisk.operators.prefix import ordered_prefix
-from steprisk.operators.skew import HOT_ROWS, complete, heavy_keys, is_heavy
+from steprisk.operators.skew import HOT, HOT_ROWS, complete, heavy_keys, with_hot
 
 _ONE = "_one"
 _TOTALS = {f"_total{name}": name for name in (UNITS, ROUGH, PLAIN)}
@@ -69,9 +69,10 @@ def row_history(
     counted = df.withColumns(summable("amount", amount_scale))
     if heavy:
         # Rows without a step belong to no history and stay on the window path.
-        hot = is_heavy(ORIGIN, heavy) & F.col("step").isNotNull()
-        state = _direct_state(counted.where(~hot), row_key).unionByName(
-            _ranged_state(counted.where(hot), row_key)
+        hot = F.col(HOT) & F.col("step").isNotNull()
+        marked = with_hot(counted, ORIGIN, heavy)
+        state = _direct_state(marked.where(~hot).drop(HOT), row_key).unionByName(
+            _ranged_state(marked.where(hot).drop(HOT), row_key)
         )
     else:
         state = _direct_state(counted, row_key)

@@ -52,9 +52,20 @@ def heavy_keys(
     return found
 
 
-def is_heavy(keys: Sequence[str], heavy: dict[int, int]) -> Column:
-    """True where the key tuple is complete and listed as heavy."""
-    return F.coalesce(key_hash(keys).isin(list(heavy)), F.lit(False)) if heavy else F.lit(False)
+HOT = "_hot"
+
+
+def with_hot(df: DataFrame, keys: Sequence[str], heavy: dict[int, int]) -> DataFrame:
+    """``df`` with ``HOT``: is the key tuple complete and heavy.
+
+    The heavy keys are joined as a table, a row each, so the plan does not grow with their number.
+    """
+    if not heavy:
+        return df.withColumn(HOT, F.lit(False))
+    parts = heavy_parts(df.sparkSession, heavy, 1).select(_HASH, F.lit(True).alias(HOT))
+    parts = F.broadcast(parts) if len(heavy) <= BROADCAST_KEYS else parts
+    marked = df.withColumn(_HASH, F.when(complete(keys), key_hash(keys))).join(parts, _HASH, "left").drop(_HASH)
+    return marked.withColumn(HOT, F.coalesce(HOT, F.lit(False)))
 
 
 def heavy_parts(spark: SparkSession, heavy: dict[int, int], hot_rows: int) -> DataFrame:

@@ -251,3 +251,21 @@ def test_stable_report_stops_the_lifecycle(spark, features, champion, tmp_path):
 
 def test_model_inputs_hold_nothing_known_later():
     assert not {"newbalanceOrig", "newbalanceDest", "isFlaggedFraud", "isFraud"} & set(MODEL_FEATURES)
+
+
+def test_row_keys_do_not_depend_on_splits(spark, tmp_path):
+    """Several files of several blocks: the same key for every row under two sizes of a split, without gaps, in file order."""
+    folder = str(tmp_path / "many")
+    rows = spark.range(6_000).selectExpr("id AS mark", "repeat('x', CAST(id % 40 AS INT)) AS pad").repartitionByRange(3, "mark")
+    rows.sortWithinPartitions("mark").write.csv(folder, header=True)
+    before, found = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    try:
+        for size in ("134217728", "9000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            keyed = with_row_key(spark.read.csv(folder, header=True))
+            found.append({int(row["mark"]): row["event_id"] for row in keyed.collect()})
+            if size == "9000":
+                assert spark.read.csv(folder, header=True).rdd.getNumPartitions() > 6
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] == {n: n for n in range(6_000)}

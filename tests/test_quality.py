@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from steprisk.functions import rowfeatures
 from steprisk.operators import quality
@@ -110,3 +111,13 @@ def test_model_feature_types(features):
     assert [kind for _, kind in double.dtypes] == ["double"] * 14 + ["int"] * 5
     with pytest.raises(ValueError):
         rowfeatures.model_features(features, "int")
+
+
+def test_many_bad_values_are_named_in_part(spark, monkeypatch):
+    df = spark.range(5_000).select((F.col("id") / 7).alias("isFraud"))
+    with pytest.raises(ValueError, match="and more") as error:
+        quality.validate_target(df)
+    assert len(str(error.value)) < 5_000
+    monkeypatch.setattr(rowfeatures, "MOST_TYPES", 3)
+    with pytest.raises(ValueError, match="more than 3 types"):
+        rowfeatures.learned_types(spark.range(4).select(F.col("id").cast("string").alias("type")))

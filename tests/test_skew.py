@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from steprisk.operators.prefix import ordered_prefix
-from steprisk.operators.skew import SALT, heavy_keys, is_heavy, skew_left_join
+from steprisk.operators.skew import HOT, SALT, heavy_keys, skew_left_join, with_hot
 
 
 def keyed(spark, n):
@@ -16,7 +16,8 @@ def test_heavy_keys_are_found(spark):
     df = keyed(spark, 9_000)
     (found,) = heavy_keys(df, [["k"]], hot_rows=1_000)
     assert list(found.values()) == [3_000]
-    assert df.where(is_heavy(["k"], found)).count() == 3_000
+    assert with_hot(df, ["k"], found).where(HOT).count() == 3_000
+    assert with_hot(df, ["k"], {}).where(HOT).count() == 0
     assert heavy_keys(df, [["k"], ["k", "step"]], hot_rows=4_000) == [{}, {}]
 
 
@@ -25,7 +26,10 @@ def test_every_heavy_key_is_found(spark):
     df = spark.range(30_004).select(F.when(F.col("id") < 30_000, F.col("id") % 3_000).otherwise(-5).alias("k"))
     (found,) = heavy_keys(df, [["k"]], hot_rows=10)
     assert set(found.values()) == {10} and len(found) == 3_000
-    assert df.where(~is_heavy(["k"], found)).count() == 4
+    marked = with_hot(df, ["k"], found)
+    assert marked.where(f"NOT {HOT}").count() == 4
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert " IN (" not in plan and "INSET" not in plan and "Join LeftOuter" in plan
 
 
 def test_salted_join_equals_plain_join(spark):
