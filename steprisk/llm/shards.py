@@ -1,41 +1,47 @@
 """Training-order materialisation: every sequence gets a global slot, shards hold slots at a fixed stride.
 
-1. Whole texts are tokenized into sequences of ``SEQUENCE`` ids (the last one of a document padded) and written once.
-2. Sequences get dense numbers: rows per task of the written table, offsets over those counts, a place within.
+1. Whole texts are tokenized into sequences of ``SEQUENCE`` ids (the last one of a document padded), which are written once, in
+   packs of at most ``PACK`` sequences, low and high bytes of the ids apart, as they compress better that way.
+2. Sequences get dense numbers: sequences per task of the written table, offsets over those counts, a place within.
 3. A keyed Feistel permutation of the smallest even-bit domain that holds all numbers, walked along its cycle until it
    lands inside, turns number into slot: a bijection that needs no shuffle of its own and no state.
-4. Slots are dealt to shards of ``SHARD_SLOTS``; each shard is one file in slot order. A record is ``STRIDE`` bytes, so
-   slot ``n`` of a shard starts at byte ``n * STRIDE`` and reading can start, or resume, anywhere.
+4. Slots are dealt to shards of ``SHARD_SLOTS``. The one shuffle moves compressed blobs of sequences to a stated number of
+   range partitions, each a run of whole shards; a task lays out one shard at a time and writes it in slot order. A record
+   is ``STRIDE`` bytes, so slot ``n`` of a shard starts at byte ``n * STRIDE`` and reading can start, or resume, anywhere.
 
 Records go through Spark's own file writer, which commits whole files only: little-endian 16-bit ids, and the one byte
-that writer puts after every record. The stride, not that byte, tells records apart.
+that writer puts after every record. The stride, not that byte, tells records apart. That writer begins a new file after
+``SHARD_SLOTS`` records: file ``part-P-*-cC`` is shard ``P * shards a task + C``, and only the last shard is shorter.
 
 Defined results: a null or empty text is one sequence holding the end id. Equal or null ``doc_id`` rows give sequences of
-their own. An empty table gives no shard. Other columns play no role.
+their own. An empty table gives no shard. Other columns play no role. A vocabulary whose ids do not fit is refused.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from steprisk.llm.common import shared_path, written
 from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, WordTokenizer
 
 SEQUENCE = 128
 END_ID, PAD_ID = 1, 0xFFFF  # no vocabulary id is that high
-SHARD_SLOTS = 4096
+PACK = 4096
+SHARD_SLOTS = 1 << 18  # 67 MB a file
+MOST_TASKS = 20_000  # beyond that many shards, a task writes several
 KEY = 20_240_607
 ROUNDS = 4
 RECORD = np.dtype("<u2")
 STRIDE = SEQUENCE * RECORD.itemsize + 1
+FILE = re.compile(r"part-(\d+)-[^/]*-c(\d+)\.txt$")
 
 
 # --- the permutation --------------------------------------------------------------------------------------------------
@@ -75,107 +81,176 @@ def slots(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
 # --- records ----------------------------------------------------------------------------------------------------------
 
 
+def checked(vocabulary: str) -> str:
+    """``vocabulary``, if all its ids fit a record beside the padding."""
+    size = WordTokenizer.of(vocabulary).tokenizer.get_vocab_size()
+    if size > PAD_ID:
+        raise ValueError(f"{vocabulary} has {size} ids; records hold ids below {PAD_ID}")
+    return vocabulary
+
+
+def _bytes_apart(records: np.ndarray) -> tuple[bytes, bytes]:
+    halves = records.reshape(-1).view(np.uint8).reshape(-1, 2)
+    return halves[:, 0].tobytes(), halves[:, 1].tobytes()
+
+
+def _bytes_joined(low: bytes, high: bytes) -> np.ndarray:
+    halves = np.empty((len(low), 2), dtype=np.uint8)
+    halves[:, 0], halves[:, 1] = np.frombuffer(low, np.uint8), np.frombuffer(high, np.uint8)
+    return halves.reshape(-1).view(RECORD).reshape(-1, SEQUENCE)
+
+
 def sequences(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """``doc_id``, ``start``, ``part`` and ``place`` (which tell sequences apart), ``ids``: ``SEQUENCE`` unsigned 16-bit ids."""
-    schema = T.StructType(
-        [
-            docs.schema["doc_id"],
-            T.StructField("start", T.LongType()),
-            T.StructField("part", T.LongType()),
-            T.StructField("place", T.LongType()),
-            T.StructField("ids", T.BinaryType()),
-        ]
-    )
+    """Packs of sequences: ``part`` and ``place`` (task, and number within, of the first one), ``n``, ``low`` and ``high``
+    (the bytes of ``n`` times ``SEQUENCE`` unsigned 16-bit ids)."""
+    checked(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, part, place = WordTokenizer.of(vocabulary), TaskContext.get().partitionId(), 0
+        held, waiting = [], 0
         for batch in batches:
-            rows = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), tokenizer.encode(batch.column(1).to_pylist())):
-                ids = np.append(np.frombuffer(raw, IDS), np.uint32(END_ID)).astype(RECORD)
-                for start in range(0, len(ids), SEQUENCE):
-                    held = np.full(SEQUENCE, PAD_ID, dtype=RECORD)
-                    held[: len(ids) - start] = ids[start : start + SEQUENCE]
-                    rows.append((doc_id, start, part, place, held.tobytes()))
-                    place += 1
-                if len(rows) >= 2048:
-                    yield _batch(rows, schema, batch.schema.field(0).type)
-                    rows = []
-            if rows:
-                yield _batch(rows, schema, batch.schema.field(0).type)
-
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
-
-
-def _batch(rows: list[tuple], schema: T.StructType, id_type: pa.DataType) -> pa.RecordBatch:
-    kinds = (id_type, pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=schema.names)
-
-
-def _slotted(count: int, key: int):
-    def slotted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for raw in tokenizer.encode(batch.column(0).to_pylist()):
+                size = len(raw) // IDS.itemsize
+                rows = np.full(-(-(size + 1) // SEQUENCE) * SEQUENCE, PAD_ID, dtype=RECORD)
+                rows[:size], rows[size] = np.frombuffer(raw, IDS), END_ID
+                held.append(rows)
+                waiting += len(rows) // SEQUENCE
+                if waiting >= PACK:
+                    yield from _packs(held, part, place)
+                    held, place, waiting = [], place + waiting, 0
+        yield from _packs(held, part, place)
+
+    return docs.select("text").mapInArrow(cut, "part long, place long, n long, low binary, high binary")
+
+
+def _packs(held: list[np.ndarray], part: int, place: int) -> Iterator[pa.RecordBatch]:
+    records = np.concatenate(held).reshape(-1, SEQUENCE) if held else np.zeros((0, SEQUENCE), RECORD)
+    for at in range(0, len(records), PACK):
+        pack = records[at : at + PACK]
+        low, high = _bytes_apart(pack)
+        yield pa.RecordBatch.from_pydict({"part": [part], "place": [place + at], "n": [len(pack)], "low": [low], "high": [high]})
+
+
+def _dealt(count: int, key: int):
+    """Packs to blobs: the sequences of a pack that go to one shard, with their slots in it, by place."""
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
-            found = slots(batch.column(0).to_numpy(), count, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found // SHARD_SLOTS), pa.array(found % SHARD_SLOTS), batch.column(1)],
-                names=["shard", "at", "record"],
-            )
+            for first, n, low, high in zip(*(column.to_pylist() for column in batch.columns)):
+                records, at = _bytes_joined(low, high), slots(np.arange(first, first + n), count, key)
+                order = np.argsort(at)
+                shard, rows = at[order] // SHARD_SLOTS, {"shard": [], "at": [], "low": [], "high": []}
+                ends = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), n]
+                for i, j in zip(ends, ends[1:]):
+                    own_low, own_high = _bytes_apart(records[order[i:j]])
+                    rows["shard"].append(int(shard[i]))
+                    rows["at"].append((at[order[i:j]] % SHARD_SLOTS).astype("<u4").tobytes())
+                    rows["low"].append(codec.compress(own_low, asbytes=True))
+                    rows["high"].append(codec.compress(own_high, asbytes=True))
+                yield pa.RecordBatch.from_pydict(rows)
+
+    return dealt
+
+
+def _laid_out(count: int):
+    """Blobs, by shard, to records in slot order, one shard in memory at a time."""
+
+    def records(shard: int, matrix: np.ndarray, filled: int) -> Iterator[pa.RecordBatch]:
+        size = min(SHARD_SLOTS, count - shard * SHARD_SLOTS)
+        if filled != size:
+            raise ValueError(f"shard {shard} has {filled} of {size} sequences")
+        width = SEQUENCE * RECORD.itemsize
+        for at in range(0, size, PACK):
+            rows = np.ascontiguousarray(matrix[at : min(at + PACK, size)])
+            offsets = np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)
+            value = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+            yield pa.RecordBatch.from_arrays([value], names=["record"])
+
+    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, current, filled = pa.Codec("zstd"), None, 0
+        matrix = np.empty((min(SHARD_SLOTS, count), SEQUENCE), dtype=RECORD)
+        for batch in batches:
+            for shard, raw, low, high in zip(*(column.to_pylist() for column in batch.columns)):
+                if shard != current:
+                    if current is not None:
+                        yield from records(current, matrix, filled)
+                    current, filled = shard, 0
+                at = np.frombuffer(raw, "<u4")
+                size = len(at) * SEQUENCE
+                matrix[at] = _bytes_joined(*(codec.decompress(half, size, asbytes=True) for half in (low, high)))
+                filled += len(at)
+        if current is not None:
+            yield from records(current, matrix, filled)
+
+    return laid_out
 
-    return slotted
 
+def shards_a_task(count: int) -> int:
+    return max(1, -(-count // (SHARD_SLOTS * MOST_TASKS)))
 
-def write_shards(docs: DataFrame, path: str, key: int = KEY) -> int:
-    """Write the shards of ``docs`` below ``path`` (``shard=N/``) and return the number of sequences."""
-    made = written(sequences(docs), "sequences", compression="zstd")
+
+def write_shards(docs: DataFrame, path: str, key: int = KEY, vocabulary: str = DEFAULT_VOCABULARY) -> int:
+    """Write the shards of ``docs`` below ``path`` and return the number of sequences."""
+    made = written(sequences(docs, vocabulary), "sequences", compression="zstd")
     # One row per task of the first pass, to number the sequences without gaps.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    tasks = made.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    offsets = tasks.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    tasks = made.groupBy("part").agg(F.sum("n").alias("n"))
+    offsets = tasks.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     count = tasks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    numbered = made.join(F.broadcast(offsets), "part").select((F.col("first") + F.col("place")).alias("number"), "ids")
-    shards = max(1, -(-count // SHARD_SLOTS))
+    if not count:
+        return 0
+    numbered = made.join(F.broadcast(offsets), "part").select((F.col("first") + F.col("place")).alias("first"), "n", "low", "high")
+    each = shards_a_task(count)
     (
-        numbered.mapInArrow(_slotted(count, key), "shard long, at long, record binary")
-        .repartitionByRange(shards, "shard")
-        .sortWithinPartitions("shard", "at")
-        .select("shard", F.col("record").cast("string").alias("value"))
-        .write.partitionBy("shard")
-        .option("lineSep", "\n")
+        numbered.mapInArrow(_dealt(count, key), "shard long, at binary, low binary, high binary")
+        .repartitionById(-(-count // (SHARD_SLOTS * each)), F.expr(f"int(shard div {each})"))
+        .sortWithinPartitions("shard")
+        .mapInArrow(_laid_out(count), "record binary")
+        .select(F.col("record").cast("string").alias("value"))
+        .write.option("lineSep", "\n")
+        .option("maxRecordsPerFile", SHARD_SLOTS)
         .text(path)
     )
     return count
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            raw = memoryview(content.as_buffer())
-            if len(raw) % STRIDE:
-                raise ValueError(f"{path} is not a whole number of records")
-            shard = int(path.rsplit("shard=", 1)[1].split("/", 1)[0])
-            rows = []
-            for at in range(len(raw) // STRIDE):
-                ids = np.frombuffer(raw[at * STRIDE : (at + 1) * STRIDE - 1], RECORD).astype(IDS)
-                used = int(np.max(np.flatnonzero(ids != PAD_ID), initial=-1)) + 1
-                rows.append((shard * SHARD_SLOTS + at, shard, at * STRIDE, used, zlib.crc32(ids[:used].tobytes())))
-            columns = list(zip(*rows)) if rows else [[] for _ in range(5)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["slot", "shard", "byte_offset", "length", "ids_crc32"]
-            )
+def _records(each: int):
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = np.frombuffer(content.as_buffer(), np.uint8)
+                if len(raw) % STRIDE:
+                    raise ValueError(f"{path} is not a whole number of records")
+                part, file = map(int, FILE.search(path).groups())
+                shard, stored = part * each + file, raw.reshape(-1, STRIDE)
+                for at in range(0, len(stored), PACK):
+                    ids = np.ascontiguousarray(stored[at : at + PACK, :-1]).view(RECORD)
+                    used = SEQUENCE - (ids != PAD_ID)[:, ::-1].argmax(axis=1)  # every record holds an id
+                    wide, width = memoryview(ids.astype(IDS)).cast("B"), SEQUENCE * IDS.itemsize
+                    sums = [zlib.crc32(wide[n * width : n * width + size * IDS.itemsize]) for n, size in enumerate(used.tolist())]
+                    place = np.arange(at, at + len(ids))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in (shard * SHARD_SLOTS + place, np.full(len(ids), shard), place * STRIDE, used, sums)],
+                        names=["slot", "shard", "byte_offset", "length", "ids_crc32"],
+                    )
+
+    return records
 
 
 def op8_training_order(docs: DataFrame) -> DataFrame:
     """Writes the shards of the whole table and reads them back: one row per record, in files of fixed stride."""
     path = shared_path(docs.sparkSession, "shards")
-    if not write_shards(docs, path):
+    count = write_shards(docs, path)
+    if not count:
         return docs.sparkSession.createDataFrame([], _RECORDS)
-    return read_shards(docs.sparkSession, path)
+    return read_shards(docs.sparkSession, path, shards_a_task(count))
 
 
 _RECORDS = "slot long, shard long, byte_offset long, length long, ids_crc32 long"
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Per record in training order: ``slot``, ``shard``, ``byte_offset``, ``length``, ``ids_crc32``."""
+def read_shards(spark: SparkSession, path: str, each: int = 1) -> DataFrame:
+    """Per record in training order: ``slot``, ``shard``, ``byte_offset``, ``length``, ``ids_crc32``. ``each``: shards a task wrote."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(_records, _RECORDS)
+    return files.select("path", "content").mapInArrow(_records(each), _RECORDS)

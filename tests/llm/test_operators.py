@@ -204,6 +204,32 @@ def test_shards_hold_every_sequence_at_its_stride(spark, docs, rows, tmp_path):
     assert all(row["byte_offset"] == row["slot"] % shards.SHARD_SLOTS * shards.STRIDE for row in found)
 
 
+def test_every_sequence_lies_in_its_slot_in_files_of_whole_shards(spark, docs, tmp_path, monkeypatch):
+    """Numbers follow the written order of the sequences; several shards a task and a shorter last one."""
+    monkeypatch.setattr(shards, "SHARD_SLOTS", 50)
+    monkeypatch.setattr(shards, "MOST_TASKS", 4)
+    monkeypatch.setattr(shards, "PACK", 64)
+    repeated = docs.where("doc_id <> 8").unionAll(docs).coalesce(1)
+    count = shards.write_shards(repeated, f"{tmp_path}/shards")
+    each = shards.shards_a_task(count)
+    assert each > 1 and count % shards.SHARD_SLOTS
+    own, want = tokens.WordTokenizer.of().tokenizer, {}
+    for (text,) in repeated.select("text").collect():
+        ids = np.array([*own.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        for start in range(0, len(ids), shards.SEQUENCE):
+            part = ids[start : start + shards.SEQUENCE]
+            want[int(shards.slots(np.array([len(want)]), count)[0])] = (len(part), zlib.crc32(part.tobytes()))
+    found = shards.read_shards(spark, f"{tmp_path}/shards", each).collect()
+    assert {row["slot"]: (row["length"], row["ids_crc32"]) for row in found} == want and len(found) == count
+    assert all(row["slot"] == row["shard"] * 50 + row["byte_offset"] // shards.STRIDE for row in found)
+
+
+def test_a_vocabulary_too_large_for_a_record_is_refused(monkeypatch):
+    monkeypatch.setattr(shards, "PAD_ID", 1000)
+    with pytest.raises(ValueError, match="ids below 1000"):
+        shards.checked(tokens.DEFAULT_VOCABULARY)
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 17, 1000, 4097])
 def test_slots_are_a_permutation(count):
     found = shards.slots(np.arange(count), count)
