@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from steprisk.llm.common import written
 
@@ -118,11 +119,21 @@ def fit_tree(sample: np.ndarray, cells: int) -> Tree:
 # --- rows to arrays ------------------------------------------------------------------------------------------------
 
 
+# Sums of squares beyond these lose digits, or over- or underflow.
+SAFE_SQUARES = (1e-200, 1e200)
+
+
 def _usable(vector: Column) -> Column:
-    wide = F.transform(vector, lambda x: x.cast("double"))
-    squares = F.aggregate(wide, F.lit(0.0), lambda total, x: total + x * x)
-    # A null component makes the sum null; NaN and infinities make it not finite.
-    return vector.isNotNull() & squares.isNotNull() & (squares > 0) & (squares < F.lit(float("inf")))
+    """Neither null nor zero, and no component null or not finite."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def _safe(vector: Column) -> Column:
+    """The vector, or, where its squares leave the range of doubles, the vector over its largest component: the same cosines."""
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x)
+    largest = F.array_max(F.transform(vector, F.abs))
+    return F.when(squares.between(*SAFE_SQUARES), vector).otherwise(F.transform(vector, lambda x: x / largest))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -296,7 +307,14 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, confidence: float = CONFIDENCE) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` for ``queries`` among ``vectors`` (both ``vec_id``, ``vector``)."""
     spark = vectors.sparkSession
-    usable = [t.where(F.col("vec_id").isNotNull() & _usable(F.col("vector"))).select(F.col("vec_id").cast("long").alias("vec_id"), "vector") for t in (vectors, queries)]
+    # Squares of single-precision components always fit a double.
+    wide = [t.schema["vector"].dataType.elementType == T.DoubleType() for t in (vectors, queries)]
+    usable = [
+        t.where(F.col("vec_id").isNotNull() & _usable(F.col("vector"))).select(
+            F.col("vec_id").cast("long").alias("vec_id"), (_safe(F.col("vector")) if scale else F.col("vector")).alias("vector")
+        )
+        for t, scale in zip((vectors, queries), wide)
+    ]
     widths = usable[0].groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n"))
     usual = widths.orderBy(F.desc("n"), "width").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -42,6 +42,14 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column of ``taken`` is called so (in any case)."""
+    lower = {other.lower() for other in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

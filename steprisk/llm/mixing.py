@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from steprisk.llm.common import word_count, written
+from steprisk.llm.common import free_name, word_count, written
 from steprisk.operators.prefix import ordered_prefix
 
 BUCKETS = 1024
@@ -194,21 +194,23 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     key = F.xxhash64(*[F.col(name) for name in docs.columns])
     second = F.xxhash64(F.lit(SEED), *[F.col(name) for name in docs.columns])
+    *row_keys, taken, equal, copy = (
+        free_name(name, docs.columns) for name in ("_tie_of_row", "_second_of_row", "_copies", "_equal", "_copy")
+    )
     sized = written(
         docs.select("source", word_count(F.col("text")).alias("size"), key.alias("tie"), second.alias("_second")), "sizes"
     )
     decided = (
         copies(sized)
         .groupBy("tie", "_second")
-        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_equal"))
-        .where(F.col("_copies") > 0)
+        .agg(F.sum("copies").alias(taken), F.count(F.lit(1)).alias(equal))
+        .where(F.col(taken) > 0)
     )
-    row_keys = ["_tie_of_row", "_second_of_row"]
     joined = docs.withColumns(dict(zip(row_keys, (key, second)))).join(
         decided.withColumnsRenamed({"tie": row_keys[0], "_second": row_keys[1]}), row_keys
     )
-    single = joined.where(F.col("_equal") == 1)
-    repeated = joined.where(F.col("_equal") > 1).dropDuplicates(row_keys)
+    single = joined.where(F.col(equal) == 1)
+    repeated = joined.where(F.col(equal) > 1).dropDuplicates(row_keys)
     return single.unionByName(repeated).select(
-        *docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("_copy")
-    ).drop("_copy")
+        *docs.columns, F.explode(F.array_repeat(F.lit(0), F.col(taken).cast("int"))).alias(copy)
+    ).drop(copy)

@@ -108,6 +108,21 @@ def test_ann_equals_brute_force_and_skips_bad_vectors(spark):
     assert sum(len(set(got[q]) & set(want[q])) for q in want) >= 0.9 * 5 * len(want)
 
 
+def test_ann_keeps_huge_and_tiny_vectors(spark):
+    """Components whose squares leave the range of doubles; scaling a vector changes no cosine."""
+    rng = np.random.default_rng(8)
+    plain = rng.standard_normal((120, 8))
+    scale = np.array([1.0, 1e200, 1e-200, 1e300, 1e-310])[np.arange(120) % 5]
+    found = [
+        {
+            (r["query_id"], r["rank"]): (r["vec_id"], round(r["score"], 9))
+            for r in ann.op1_ann(spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(rows)], "vec_id long, embedding array<double>")).collect()
+        }
+        for rows in (plain, plain * np.minimum(scale, 1e300)[:, None])
+    ]
+    assert found[0] == found[1] and len(found[0]) == 15
+
+
 def test_ann_with_few_or_no_rows(spark):
     schema = "vec_id long, embedding array<float>, rank string"
     assert ann.op1_ann(spark.createDataFrame([], schema)).collect() == []
@@ -627,6 +642,17 @@ def test_trees_equal_their_expression(spark):
     assert masked[1000]["text"] == "please call [PHONE] now, thanks" and masked[1000]["n_chars"] == 31
 
 
+def test_pipeline_operators_leave_columns_of_any_name_alone(docs):
+    extra = ("_base_spans", "_all_spans", "_MASKED_text", "_copies", "_equal", "_copy", "_tie_of_row", "_second_of_row", "_source_size")
+    small = docs.where("doc_id <> 8").select("*", *[F.lit("x").alias(name) for name in extra])
+    masked = pii.redact(small, None)
+    assert masked.columns == small.columns and masked.select(*extra).distinct().collect() == [("x",) * len(extra)]
+    plain = Counter(map(tuple, pii.redact(docs.where("doc_id <> 8"), None).collect()))
+    assert Counter(row[:5] for row in map(tuple, masked.collect())) == plain
+    mixed = mixing.mix(small)
+    assert mixed.columns == small.columns and mixed.select(*extra).distinct().collect() == [("x",) * len(extra)]
+
+
 def test_redaction_joins_overlapping_spans(spark):
     table = spark.createDataFrame([(1, "x +4111 1111 1111 1111 y", None, None, 1), (2, None, None, None, 1)], SCHEMA)
     masked = {row["doc_id"]: row["text"] for row in pii.redact(table, None).collect()}
