@@ -1,7 +1,7 @@
 """Training-order materialisation: every sequence gets a global slot, shards hold slots at a fixed stride.
 
 1. Whole texts are tokenized into sequences of ``SEQUENCE`` ids (the last one of a document padded), which are written once, in
-   packs of at most ``PACK`` sequences, low and high bytes of the ids apart, as they compress better that way.
+   compressed packs of at most ``PACK`` sequences.
 2. Sequences get dense numbers: sequences per task of the written table, offsets over those counts, a place within.
 3. A keyed Feistel permutation of the smallest even-bit domain that holds all numbers, walked along its cycle until it
    lands inside, turns number into slot: a bijection that needs no shuffle of its own and no state.
@@ -35,7 +35,9 @@ from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, WordTokenizer
 SEQUENCE = 128
 END_ID, PAD_ID = 1, 0xFFFF  # no vocabulary id is that high
 PACK = 4096
-SHARD_SLOTS = 1 << 18  # 67 MB a file
+PACKS = 16  # dealt together: 17 MB
+CODEC, LEVEL = "zstd", 3
+SHARD_SLOTS = 1 << 16  # 17 MB a file, which its reader holds whole
 MOST_TASKS = 20_000  # beyond that many shards, a task writes several
 KEY = 20_240_607
 ROUNDS = 4
@@ -89,20 +91,9 @@ def checked(vocabulary: str) -> str:
     return vocabulary
 
 
-def _bytes_apart(records: np.ndarray) -> tuple[bytes, bytes]:
-    halves = records.reshape(-1).view(np.uint8).reshape(-1, 2)
-    return halves[:, 0].tobytes(), halves[:, 1].tobytes()
-
-
-def _bytes_joined(low: bytes, high: bytes) -> np.ndarray:
-    halves = np.empty((len(low), 2), dtype=np.uint8)
-    halves[:, 0], halves[:, 1] = np.frombuffer(low, np.uint8), np.frombuffer(high, np.uint8)
-    return halves.reshape(-1).view(RECORD).reshape(-1, SEQUENCE)
-
-
 def sequences(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """Packs of sequences: ``part`` and ``place`` (task, and number within, of the first one), ``n``, ``low`` and ``high``
-    (the bytes of ``n`` times ``SEQUENCE`` unsigned 16-bit ids)."""
+    """Packs of sequences: ``part`` and ``place`` (task, and number within, of the first one), ``n``, ``pack`` (compressed:
+    ``n`` times ``SEQUENCE`` unsigned 16-bit ids)."""
     checked(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,34 +111,39 @@ def sequences(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFram
                     held, place, waiting = [], place + waiting, 0
         yield from _packs(held, part, place)
 
-    return docs.select("text").mapInArrow(cut, "part long, place long, n long, low binary, high binary")
+    return docs.select("text").mapInArrow(cut, "part long, place long, n long, pack binary")
 
 
 def _packs(held: list[np.ndarray], part: int, place: int) -> Iterator[pa.RecordBatch]:
-    records = np.concatenate(held).reshape(-1, SEQUENCE) if held else np.zeros((0, SEQUENCE), RECORD)
+    codec, records = pa.Codec(CODEC, LEVEL), np.concatenate(held).reshape(-1, SEQUENCE) if held else np.zeros((0, SEQUENCE), RECORD)
     for at in range(0, len(records), PACK):
-        pack = records[at : at + PACK]
-        low, high = _bytes_apart(pack)
-        yield pa.RecordBatch.from_pydict({"part": [part], "place": [place + at], "n": [len(pack)], "low": [low], "high": [high]})
+        rows = records[at : at + PACK]
+        pack = codec.compress(rows.tobytes(), asbytes=True)
+        yield pa.RecordBatch.from_pydict({"part": [part], "place": [place + at], "n": [len(rows)], "pack": [pack]})
+
+
+def _unpacked(codec: pa.Codec, blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(codec.decompress(blob, n * SEQUENCE * RECORD.itemsize, asbytes=True), RECORD).reshape(n, SEQUENCE)
 
 
 def _dealt(count: int, key: int):
-    """Packs to blobs: the sequences of a pack that go to one shard, with their slots in it, by place."""
+    """Packs, ``PACKS`` at a time, to blobs: the sequences that go to one shard, with their slots in it, by slot."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
+        codec = pa.Codec(CODEC, LEVEL)
         for batch in batches:
-            for first, n, low, high in zip(*(column.to_pylist() for column in batch.columns)):
-                records, at = _bytes_joined(low, high), slots(np.arange(first, first + n), count, key)
+            packs = list(zip(*(column.to_pylist() for column in batch.columns)))
+            for begin in range(0, len(packs), PACKS):
+                some = packs[begin : begin + PACKS]
+                records = np.concatenate([_unpacked(codec, pack, n) for _, n, pack in some])
+                at = slots(np.concatenate([np.arange(first, first + n) for first, n, _ in some]), count, key)
                 order = np.argsort(at)
-                shard, rows = at[order] // SHARD_SLOTS, {"shard": [], "at": [], "low": [], "high": []}
-                ends = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), n]
+                shard, rows = at[order] // SHARD_SLOTS, {"shard": [], "at": [], "blob": []}
+                ends = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(at)]
                 for i, j in zip(ends, ends[1:]):
-                    own_low, own_high = _bytes_apart(records[order[i:j]])
                     rows["shard"].append(int(shard[i]))
                     rows["at"].append((at[order[i:j]] % SHARD_SLOTS).astype("<u4").tobytes())
-                    rows["low"].append(codec.compress(own_low, asbytes=True))
-                    rows["high"].append(codec.compress(own_high, asbytes=True))
+                    rows["blob"].append(codec.compress(records[order[i:j]].tobytes(), asbytes=True))
                 yield pa.RecordBatch.from_pydict(rows)
 
     return dealt
@@ -168,17 +164,16 @@ def _laid_out(count: int):
             yield pa.RecordBatch.from_arrays([value], names=["record"])
 
     def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, current, filled = pa.Codec("zstd"), None, 0
+        codec, current, filled = pa.Codec(CODEC), None, 0
         matrix = np.empty((min(SHARD_SLOTS, count), SEQUENCE), dtype=RECORD)
         for batch in batches:
-            for shard, raw, low, high in zip(*(column.to_pylist() for column in batch.columns)):
+            for shard, raw, blob in zip(*(column.to_pylist() for column in batch.columns)):
                 if shard != current:
                     if current is not None:
                         yield from records(current, matrix, filled)
                     current, filled = shard, 0
                 at = np.frombuffer(raw, "<u4")
-                size = len(at) * SEQUENCE
-                matrix[at] = _bytes_joined(*(codec.decompress(half, size, asbytes=True) for half in (low, high)))
+                matrix[at] = _unpacked(codec, blob, len(at))
                 filled += len(at)
         if current is not None:
             yield from records(current, matrix, filled)
@@ -192,7 +187,7 @@ def shards_a_task(count: int) -> int:
 
 def write_shards(docs: DataFrame, path: str, key: int = KEY, vocabulary: str = DEFAULT_VOCABULARY) -> int:
     """Write the shards of ``docs`` below ``path`` and return the number of sequences."""
-    made = written(sequences(docs, vocabulary), "sequences", compression="zstd")
+    made = written(sequences(docs, vocabulary), "sequences", compression="uncompressed")
     # One row per task of the first pass, to number the sequences without gaps.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     tasks = made.groupBy("part").agg(F.sum("n").alias("n"))
@@ -200,10 +195,10 @@ def write_shards(docs: DataFrame, path: str, key: int = KEY, vocabulary: str = D
     count = tasks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not count:
         return 0
-    numbered = made.join(F.broadcast(offsets), "part").select((F.col("first") + F.col("place")).alias("first"), "n", "low", "high")
+    numbered = made.join(F.broadcast(offsets), "part").select((F.col("first") + F.col("place")).alias("first"), "n", "pack")
     each = shards_a_task(count)
     (
-        numbered.mapInArrow(_dealt(count, key), "shard long, at binary, low binary, high binary")
+        numbered.mapInArrow(_dealt(count, key), "shard long, at binary, blob binary")
         .repartitionById(-(-count // (SHARD_SLOTS * each)), F.expr(f"int(shard div {each})"))
         .sortWithinPartitions("shard")
         .mapInArrow(_laid_out(count), "record binary")
