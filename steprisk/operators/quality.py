@@ -45,11 +45,16 @@ def validate_target(df: DataFrame, label: str = "isFraud") -> DataFrame:
 def duplicate_row_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first of each identical group. Leave a surrogate key out of ``columns``.
 
-    The partial count runs before the shuffle, so many copies of one row cost one shuffled row per task.
+    Two 64-bit hashes of every row are counted first; whole rows are moved and compared only where both repeat. Partial
+    counts run before either shuffle, so many copies of one row cost one shuffled row per task.
     """
     columns = list(columns or df.columns)
+    digest = ["_row_digest_1", "_row_digest_2"]
+    rows = df.select(*columns).withColumns({name: F.xxhash64(F.lit(seed), *columns) for seed, name in enumerate(digest)})
+    repeated = rows.groupBy(*digest).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(*digest)
     return (
-        df.groupBy(*columns)
+        rows.join(repeated, digest, "left_semi")
+        .groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
     )

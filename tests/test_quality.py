@@ -121,3 +121,12 @@ def test_many_bad_values_are_named_in_part(spark, monkeypatch):
     monkeypatch.setattr(rowfeatures, "MOST_TYPES", 3)
     with pytest.raises(ValueError, match="more than 3 types"):
         rowfeatures.learned_types(spark.range(4).select(F.col("id").cast("string").alias("type")))
+
+
+def test_duplicates_among_nulls_and_equal_zeros(spark):
+    """Rows that hash alike (a null is skipped by the hash) are told apart; 0.0 and -0.0 are one value, NaN another."""
+    nan = float("nan")
+    rows = [(None, 1, 0.0), (1, None, 0.0), (None, 1, -0.0), (1, 1, nan), (1, 1, nan), (1, 1, nan), (None, None, None), (None, None, None), (2, 2, 2.0)]
+    table = spark.createDataFrame(rows, "a int, b int, c double")
+    assert quality.duplicate_row_count(table).first()[0] == 4
+    assert quality.duplicate_row_count(table.limit(0)).first()[0] == 0
