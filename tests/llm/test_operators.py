@@ -1,6 +1,7 @@
 """Operators against brute force on small tables, and the odd cases every operator must bear."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -642,6 +643,90 @@ def test_trees_equal_their_expression(spark):
     assert masked[1000]["text"] == "please call [PHONE] now, thanks" and masked[1000]["n_chars"] == 31
 
 
+def planted(pick):
+    """Texts that teach: each kind in its plain form, and what resembles it."""
+    hexes = lambda n: "".join(pick.choices("0123456789abcdef", k=n))
+    number = lambda n: str(pick.randint(10 ** (n - 1), 10**n - 1))
+    return [
+        f"write to {pick.choice('abcdefgh')}{number(2)}.{hexes(4)}@{pick.choice(['mail', 'post'])}.example.org",
+        f"call +{number(1)} ({number(3)}) {number(3)}-{number(4)}",
+        f'token = "{hexes(40)}"',
+        f"ssn: {number(3)}-{number(2)}-{number(4)}",
+        f"host 10.{pick.randint(0, 255)}.{pick.randint(0, 255)}.{pick.randint(0, 255)}",
+        f"commit {hexes(40)}",
+        f"{pick.randint(1900, 2099)}-{number(2)}-{number(2)}",
+        f"{number(3)},{number(3)},{number(3)},{number(3)}",
+        f"{number(10)} {number(7)}",
+    ]
+
+
+@pytest.fixture(scope="module")
+def taught(spark):
+    pick = random.Random(21)
+    rows = []
+    for n in range(300):
+        parts = [x for k, part in enumerate(planted(pick)) for x in (part, prose(9 * n + k, pick.randint(2, 8)))]
+        rows.append((n, ", ".join(parts), None, None, 1))
+    secret = "0f1e2d3c4b5a69788796a5b4c3d2e1f001122334"
+    cases = {
+        1001: ("ask bob17.cafe (at) mail (dot) example (dot) org for it", "email"),
+        1002: ("please call 4 (555) 123-4567 now", "phone"),
+        1003: (f'deploy_value = "{secret}" is set', "secret"),
+        1004: ("her number is 123-45-6789 she said", "id"),
+        1005: (f"see commit {secret} for it", None),
+        1006: (f'sha1 = "{secret}" is the digest', None),
+        1007: ("from 1999-12-31 on, at 123,456,789,012 units", None),
+        1008: ("plain words without any number", None),
+        1009: ("4111111111111112 fails its check", None),
+        1010: (None, None),
+    }
+    rows += [(n, text, None, None, 1) for n, (text, _) in cases.items()]
+    table = spark.createDataFrame(rows, SCHEMA)
+    return table, pii.fit(table), cases
+
+
+def test_method_adds_what_base_patterns_miss(taught):
+    table, judge, cases = taught
+    found = {row["doc_id"]: [s["kind"] for s in row["_all_spans"]] for row in pii.with_spans(table.where("doc_id > 1000"), judge).collect()}
+    assert {n: [pii.ALL_KINDS[k] for k in kinds] for n, kinds in found.items()} == {
+        n: [kind] if kind else [] for n, (_, kind) in cases.items()
+    }
+    masked = {row["doc_id"]: row["text"] for row in pii.redact(table.where("doc_id > 1000"), judge).collect()}
+    assert masked[1003] == 'deploy_value = "[SECRET]" is set' and masked[1004] == "her number is [ID] she said"
+    assert masked[1001] == "ask [EMAIL] for it" and masked[1005] == cases[1005][0]
+
+
+def test_margins_equal_a_walk_down_the_trees(taught):
+    table, judge, _ = taught
+    rows = pii.labelled_candidates(table).select(*pii.FEATURES).withColumn("margin", judge.margin(F.array(*pii.FEATURES))).collect()
+
+    def walk(node, row):
+        while isinstance(node, tuple):
+            node = node[2] if row[node[0]] <= node[1] else node[3]
+        return node
+
+    assert len(judge.trees) == pii.ROUNDS and len(rows) > 1000
+    for row in rows:
+        assert row["margin"] == pytest.approx(sum(w * walk(t, row) for t, w in zip(judge.trees, judge.weights)), abs=1e-9)
+
+
+def test_threshold_of_a_kind():
+    margin = lambda p: math.log(p / (1 - p)) / 2
+    assert pii._threshold([], 0.99) == math.inf
+    assert pii._threshold([(90, 5, 0.0)], 0.99) == math.inf
+    assert pii._threshold([(90, 5, 5.0)], 0.99) == pytest.approx(margin(0.9))
+    assert pii._threshold([(90, 5, 5.0), (9, 3, 0.0), (5, 1, 0.0)], 0.99) == pytest.approx(margin(0.5))
+    assert pii._threshold([(90, 90, 90.0), (70, 10, 9.0), (9, 3, 0.0)], 0.99) == pytest.approx(margin(0.4))
+    assert pii._threshold([(90, 90, 90.0), (70, 10, 8.0)], 0.99) == pytest.approx(margin(0.805))
+
+
+def test_nothing_to_learn_adds_nothing(spark):
+    table = spark.createDataFrame([(1, "call 555 123 456 7", None, None, 1), (2, None, None, None, 1)], SCHEMA)
+    for some in (table, table.where("false")):
+        assert pii.fit(some) == pii.NOTHING
+    assert [row["spans"] for row in pii.op10_pii(table).collect()] == ["", ""]
+
+
 def test_pipeline_operators_leave_columns_of_any_name_alone(docs):
     extra = ("_base_spans", "_all_spans", "_MASKED_text", "_copies", "_equal", "_copy", "_tie_of_row", "_second_of_row", "_source_size")
     small = docs.where("doc_id <> 8").select("*", *[F.lit("x").alias(name) for name in extra])
