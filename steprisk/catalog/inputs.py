@@ -80,19 +80,27 @@ def trained(spark: SparkSession, folder: str, name: str) -> Trained:
     return _trained[key]
 
 
-def champion(spark: SparkSession, folder: str) -> PipelineModel:
+def champion_path(spark: SparkSession, folder: str) -> str:
     def write(path: str) -> None:
         save_model(trained(spark, folder, "train_behavioral").model, path)
 
-    return load_model(spark, _once(spark, folder, "champion", write))
+    return _once(spark, folder, "champion", write)
 
 
-def challenger(spark: SparkSession, folder: str) -> PipelineModel:
+def champion(spark: SparkSession, folder: str) -> PipelineModel:
+    return load_model(spark, champion_path(spark, folder))
+
+
+def challenger_path(spark: SparkSession, folder: str) -> str:
     def write(path: str) -> None:
         table = feature_table(spark, folder)
         save_model(train_challenger(table, CHALLENGER_CUTOFF_STEP), path)
 
-    return load_model(spark, _once(spark, folder, "challenger", write))
+    return _once(spark, folder, "challenger", write)
+
+
+def challenger(spark: SparkSession, folder: str) -> PipelineModel:
+    return load_model(spark, challenger_path(spark, folder))
 
 
 def champion_score() -> Column:

@@ -519,11 +519,13 @@ SELECT *, reasons = '' AS promotion_recommended,
 # --- fitted models: what holds for any model ---------------------------------------------------------------------
 
 ORACLES["save_load_model"] = from_tx("SELECT count(*) AS rows, 0 AS differing FROM tx")
-ORACLES["score"] = from_tx("SELECT event_id, true AS is_probability FROM tx")
+ORACLES["score"] = from_tx("SELECT event_id, true AS is_probability, true AS walk_agrees FROM tx")
 ORACLES["fit_classifier"] = (
     f"WITH {TX}, {cut(0.8)} SELECT event_id, isFraud, true AS is_probability FROM tx, cut WHERE step >= cutoff"
 )
-ORACLES["train_challenger"] = from_tx("SELECT event_id, true AS is_probability FROM tx WHERE step >= 525")
+ORACLES["train_challenger"] = from_tx(
+    "SELECT event_id, true AS is_probability, true AS walk_agrees FROM tx WHERE step >= 525"
+)
 ORACLES["score_transactions"] = ORACLES["score_stream"] = f"""WITH {REQUESTS}, checked AS (
   SELECT event_id, amount >= 0 AND dest_seen_before <= 1 AND type <> 'UNKNOWN' AS valid,
     concat_ws(',', CASE WHEN amount < 0 THEN 'amount' END, CASE WHEN dest_seen_before > 1 THEN 'dest_seen_before' END,
@@ -547,3 +549,47 @@ ORACLES["lifecycle_report"] = from_tx(
   count(*) FILTER (WHERE isFraud = 0) AS candidate_negatives, count(*) FILTER (WHERE isFraud = 1) AS candidate_positives,
   true AS gate_agrees FROM tx WHERE step >= 525"""
 )
+
+# --- a whole fit in SQL ------------------------------------------------------------------------------------------
+
+
+def boosted(rounds: int, depth: int, rate: float) -> str:
+    """Weighted boosting of regression trees under the logistic loss, from ``examples`` (event_id, later, y, w, xs)."""
+    steps = ["""spread AS MATERIALIZED (SELECT event_id, unnest(range(1, 1 + len(xs))) AS feature, unnest(xs) AS value FROM examples)""",
+        """ends AS MATERIALIZED (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS above
+  FROM (SELECT DISTINCT feature, value FROM spread JOIN examples USING (event_id) WHERE NOT later))""",
+        "margin0 AS (SELECT event_id, CAST(0 AS DOUBLE) AS f FROM examples)"]
+    for turn in range(1, rounds + 1):
+        steps.append(f"""at{turn}_0 AS MATERIALIZED (SELECT event_id, later, xs, w, 1 AS node,
+    CASE WHEN {turn} = 1 THEN y ELSE 4 * y / (1 + exp(2 * y * f)) END AS target
+  FROM examples JOIN margin{turn - 1} USING (event_id))""")
+        for level in range(depth):
+            rows, name = f"at{turn}_{level}", f"{turn}_{level}"
+            steps.append(f"""sums{name} AS (SELECT node, feature, value, sum(w) AS w, sum(w * target) AS s
+  FROM {rows} JOIN spread USING (event_id) WHERE NOT later GROUP BY ALL)""")
+            steps.append(f"""sides{name} AS (SELECT node, feature, value, sum(w) OVER below AS wl, sum(s) OVER below AS sl,
+    sum(w) OVER whole AS wt, sum(s) OVER whole AS st, lead(value) OVER (PARTITION BY node, feature ORDER BY value) AS next
+  FROM sums{name} WINDOW below AS (PARTITION BY node, feature ORDER BY value), whole AS (PARTITION BY node, feature))""")
+            steps.append(f"""best{name} AS MATERIALIZED (SELECT node, feature, (value + above) / 2 AS cut FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, value) AS place FROM (
+      SELECT *, sl * sl / wl + (st - sl) * (st - sl) / (wt - wl) - st * st / wt AS gain FROM sides{name} WHERE next IS NOT NULL))
+  JOIN ends USING (feature, value) WHERE place = 1 AND gain > 1e-9)""")
+            steps.append(f"""at{turn}_{level + 1} AS MATERIALIZED (SELECT event_id, later, xs, w, target,
+    CASE WHEN cut IS NULL THEN node WHEN xs[feature] <= cut THEN 2 * node ELSE 2 * node + 1 END AS node
+  FROM {rows} LEFT JOIN best{name} USING (node))""")
+        weight = 1.0 if turn == 1 else rate
+        steps.append(f"""margin{turn} AS MATERIALIZED (SELECT event_id, f + {weight} * leaf AS f
+  FROM at{turn}_{depth} JOIN margin{turn - 1} USING (event_id)
+  JOIN (SELECT node, sum(w * target) / sum(w) AS leaf FROM at{turn}_{depth} WHERE NOT later GROUP BY node) USING (node))""")
+    return ",\n".join(steps)
+
+
+ORACLES["fit_classifier_coarse"] = f"""WITH {FEAT}, {cut(0.8)},
+weight AS (SELECT count(*) FILTER (WHERE isFraud <> 1) / greatest(count(*) FILTER (WHERE isFraud = 1), 1) AS positive
+  FROM feat, cut WHERE step < cutoff),
+examples AS MATERIALIZED (SELECT event_id, step >= cutoff AS later, CASE WHEN isFraud = 1 THEN 1.0::DOUBLE ELSE -1.0 END AS y,
+    CASE WHEN isFraud = 1 THEN positive ELSE 1.0::DOUBLE END AS w,
+    [CAST(step % 24 AS DOUBLE), least(floor(amount / 20), 30.0), least(orig_prior_txn_count, 20)::DOUBLE] AS xs
+  FROM feat, cut, weight),
+{boosted(3, 2, 0.3)}
+SELECT event_id, round(1 / (1 + exp(-2 * f)), 9) AS score FROM margin3 JOIN examples USING (event_id) WHERE later"""

@@ -12,8 +12,10 @@ from steprisk.catalog.inputs import (
     RAW_COLUMNS,
     TRAINERS,
     challenger,
+    challenger_path,
     challenger_score,
     champion,
+    champion_path,
     champion_score,
     feature_table,
     feature_table_path,
@@ -28,7 +30,7 @@ from steprisk.functions.decisions import classify, risk_level, severity
 from steprisk.operators import drift, history, metrics, quality, split
 from steprisk.operators.policy import promotion_gate, retraining_policy
 from steprisk.operators.row_history import row_history
-from steprisk.plans import lifecycle, training
+from steprisk.plans import lifecycle, training, trees
 from steprisk.plans.monitoring import drift_report
 from steprisk.schema import (
     CHALLENGER_CUTOFF_STEP,
@@ -476,6 +478,35 @@ def _is_probability(name: str = "score") -> Column:
     return F.coalesce(F.col(name).between(0.0, 1.0), F.lit(False)).alias("is_probability")
 
 
+def _checked(spark: SparkSession, path: str, scored: DataFrame, dtype: str) -> DataFrame:
+    inputs, depth = rowfeatures.model_columns(dtype), training.Boosting().depth
+    both = trees.walked_score(spark, path, scored, list(inputs), depth, "walked", inputs)
+    agrees = F.coalesce(F.abs(F.col("score") - F.col("walked")) <= 1e-9, F.lit(False))
+    return both.select("event_id", _is_probability(), agrees.alias("walk_agrees"))
+
+
+# Few enough values that every split between two of them is a candidate, so SQL can repeat the whole fit.
+COARSE = training.Boosting(rounds=3, depth=2, rate=0.3, row_fraction=1.0, column_fraction=1.0)
+
+
+def _coarse(table: DataFrame) -> DataFrame:
+    return table.select(
+        "event_id",
+        "isFraud",
+        rowfeatures.hour().alias("hour"),
+        F.least(F.floor(F.col("amount") / 20), F.lit(30)).alias("amount_band"),
+        F.least("orig_prior_txn_count", F.lit(20)).alias("prior_count"),
+    )
+
+
+@register
+def fit_classifier_coarse(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the held-out rows by weighted boosted trees over three coarse features, all rows and features sampled."""
+    before, after, _ = split.strict_time_split(feature_table(spark, folder))
+    model = training.fit_classifier(_coarse(before), ["hour", "amount_band", "prior_count"], boosting=COARSE)
+    return _rounded(training.score(model, _coarse(after)).select("event_id", "score"), ("score",))
+
+
 @register
 def fit_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out rows of a freshly fitted model."""
@@ -486,9 +517,9 @@ def fit_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def score(spark: SparkSession, folder: str) -> DataFrame:
-    return training.score_feature_table(champion(spark, folder), feature_table(spark, folder)).select(
-        "event_id", _is_probability()
-    )
+    """Every row's score is a probability and the one that a walk down the stored trees gives."""
+    scored = training.score_feature_table(champion(spark, folder), feature_table(spark, folder))
+    return _checked(spark, champion_path(spark, folder), scored, "double")
 
 
 def _classify(spark: SparkSession, folder: str) -> DataFrame:
@@ -782,9 +813,8 @@ register_as("promotion_gate", _promotion_gate)
 
 def _train_challenger(spark: SparkSession, folder: str) -> DataFrame:
     later = feature_table(spark, folder).where(F.col("step") >= CHALLENGER_CUTOFF_STEP)
-    return training.score_feature_table(challenger(spark, folder), later, dtype="float").select(
-        "event_id", _is_probability()
-    )
+    scored = training.score_feature_table(challenger(spark, folder), later, dtype="float")
+    return _checked(spark, challenger_path(spark, folder), scored, "float")
 
 
 register_as("train_challenger", _train_challenger)

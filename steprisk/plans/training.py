@@ -44,6 +44,8 @@ class Boosting:
     row_fraction: float = 0.8
     column_fraction: float = 0.8
     seed: int = 42
+    # Most distinct split candidates of a feature; a feature of fewer values is split between any two of them.
+    bins: int = 32
 
 
 def class_weight(train: DataFrame, label: str = "isFraud") -> DataFrame:
@@ -81,6 +83,7 @@ def fit_classifier(
         weightCol=WEIGHT,
         maxIter=boosting.rounds,
         maxDepth=boosting.depth,
+        maxBins=boosting.bins,
         stepSize=boosting.rate,
         subsamplingRate=boosting.row_fraction,
         featureSubsetStrategy=str(boosting.column_fraction),
@@ -175,6 +178,7 @@ def _finish(
         "model": "GBTClassifier",
         "n_estimators": boosting.rounds,
         "max_depth": boosting.depth,
+        "max_bins": boosting.bins,
         "learning_rate": boosting.rate,
         "subsample": boosting.row_fraction,
         "colsample": boosting.column_fraction,

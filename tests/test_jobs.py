@@ -7,12 +7,12 @@ import pyarrow.parquet as parquet
 import pytest
 from pyspark.sql import functions as F
 
-from steprisk.functions.rowfeatures import MODEL_FEATURES
+from steprisk.functions.rowfeatures import MODEL_FEATURES, model_columns
 from steprisk.operators.drift import SCORE_FEATURE
 from steprisk.operators.history import behavioral_features
 from steprisk.operators.metrics import threshold_sweep
 from steprisk.operators.quality import quality_report
-from steprisk.plans import lifecycle, monitoring, training
+from steprisk.plans import lifecycle, monitoring, training, trees
 from steprisk.plans.training import Boosting
 from steprisk.schema import DRIFT_FEATURES, DRIFT_REPORT, FEATURE_TABLE, LIFECYCLE_REPORT, TRANSACTIONS
 from steprisk.sources import features as feature_source
@@ -158,6 +158,28 @@ def test_model_round_trip(spark, champion, features, tmp_path):
         training.load_model(spark, str(tmp_path / "other"))
 
 
+def test_walk_down_stored_trees_gives_the_score(spark, champion, features, tmp_path):
+    path = str(tmp_path / "walked")
+    training.save_model(champion, path)
+    some = features.withColumn("oldbalanceOrg", F.when(F.col("event_id") % 5 > 0, F.col("oldbalanceOrg")))
+    scored = training.score_feature_table(champion, some)
+    inputs = model_columns("double")
+    both = trees.walked_score(spark, path, scored, list(inputs), FEW.depth, inputs=inputs)
+    assert both.where("abs(score - walked) > 1e-9 OR walked IS NULL").isEmpty()
+    assert both.select("walked").distinct().count() > 5
+    assert trees.stored_nodes(spark, path).select("tree").distinct().count() == FEW.rounds
+
+
+def test_bins_reach_the_fit(spark):
+    rows = spark.range(2000).select((F.col("id") % 500).alias("x"), (F.col("id") % 500 == 321).cast("int").alias("isFraud"))
+    found = {}
+    for bins in (32, 1000):
+        boosting = Boosting(rounds=1, depth=2, row_fraction=1.0, bins=bins)
+        scored = training.score(training.fit_classifier(rows, ["x"], boosting=boosting, positive_weight=1.0), rows)
+        found[bins] = scored.where("score > 0.5 AND isFraud = 1").count()
+    assert found == {32: 0, 1000: 4}
+
+
 def test_scoring_reads_only_model_inputs(spark, champion, features):
     scored = training.score_feature_table(champion, features).select("event_id", "score")
     plan = scored._jdf.queryExecution().executedPlan().toString()
