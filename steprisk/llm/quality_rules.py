@@ -5,10 +5,12 @@ bytes, and the entropy of the token distribution relative to its largest possibl
 A text whose measures lie outside the bands of its language is not written like the rest of it: encoded data, symbol
 noise, letters in unusual order or in the wrong script, endless repetition.
 
-Bands come from all documents: per language (per script of the letters, where no language is given) the quartiles of
-each measure, widened by ``WIDTH`` interquartile ranges and at least by ``LEAST_WIDTH`` of the median, so that a language whose
-texts are all alike does not reject small differences. Quartiles are sketches: map-side, mergeable, no group in one task.
-Texts of fewer than ``LEAST_TOKENS`` tokens say too little about a distribution; they neither shape bands nor fail them.
+Bands come from all documents, per language and length class (powers of two of the number of tokens, the last one open), for short
+texts spread more than long ones: the quartiles of each measure, widened by ``WIDTH`` interquartile ranges and at least by
+``LEAST_WIDTH`` of the median, so that a language whose texts are all alike does not reject small differences. A language
+with fewer than ``LEAST_GROUP`` documents in the class is banded over all lengths; one with fewer documents than that altogether cannot
+vouch for itself and is held against its script, in the same way, and a script as rare as that against all documents.
+Quartiles are sketches: map-side, mergeable, no group in one task.
 
 Base counts: words, code points in words, symbols, repeated lines, words covered by 5-word windows that occur twice.
 ``base_failed``: fewer than 10 words, or more than a fifth of the words in repeated windows.
@@ -20,6 +22,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +37,9 @@ from steprisk.llm.tokens import DEFAULT_VOCABULARY, Memo, WordTokenizer, vocabul
 BYTE_VOCABULARY = "piece_bpe_32k.model"
 WIDTH = 3.0
 LEAST_WIDTH = 0.05
-LEAST_TOKENS = 200
+LEAST_GROUP = 20
+# Lowest and highest length class, and the one that stands for all lengths.
+CLASSES, ANY = (4, 10), -1
 ACCURACY = 2000
 WINDOW = 5
 SALTS = 256
@@ -53,15 +58,25 @@ _SCRIPTS = (
 )
 
 
+@functools.cache
+def _script_table() -> np.ndarray:
+    """Per code point: 1 + the place of its range in ``_SCRIPTS`` for a letter, else 0."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    letters = np.fromiter((code for code in range(0x110000) if chr(code).isalpha()), dtype=np.int64)
+    starts = np.array([start for start, _ in _SCRIPTS])
+    table[letters] = 1 + np.maximum(np.searchsorted(starts, letters, "right") - 1, 0)
+    return table
+
+
 def script(text: str) -> str:
     """The script with the most letters; ``none`` without letters. Whole text; ties go to the earlier range."""
-    starts = np.array([start for start, _ in _SCRIPTS])
-    codes = np.fromiter((ord(c) for c in text if c.isalpha()), dtype=np.int64)
-    if not len(codes):
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    found = np.bincount(_script_table()[codes], minlength=len(_SCRIPTS) + 1)[1:]
+    if not found.any():
         return "none"
     counts = Counter()
-    for place, n in enumerate(np.bincount(np.maximum(np.searchsorted(starts, codes, "right") - 1, 0))):
-        counts[_SCRIPTS[place][1]] += int(n)
+    for place, n in enumerate(found.tolist()):
+        counts[_SCRIPTS[place][1]] += n
     return counts.most_common(1)[0][0]
 
 
@@ -164,10 +179,11 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words = base_counts(text)
             ids = pieces.encode(words)
             n_tokens = len(word_ids) // 4
+            kind = "script:" + script(text)
             rows.append(
                 (
                     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, len(ids),
-                    "lang:" + language if language is not None else "script:" + script(text),
+                    "lang:" + language if language is not None else kind, kind,
                     word_chars / len(ids) if len(ids) else None,
                     word_chars / n_tokens if n_tokens else None,
                     float(pieces.is_byte[ids].mean()) if len(ids) else None,
@@ -185,24 +201,40 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 _MEASURED = (
     *[(name, pa.int64()) for name in (*_COUNTS, "n_pieces")],
     ("kin", pa.string()),
+    ("script", pa.string()),
     *[(name, pa.float64()) for name in MEASURES],
 )
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the base counts, ``n_pieces``, ``kin`` (language or script) and the four measures of every row."""
+    """``doc_id``, the base counts, ``n_pieces``, ``kin`` (language, else script), ``script`` and the four measures of every row."""
     counts = ", ".join(f"{name} long" for name in (*_COUNTS, "n_pieces"))
     measures = ", ".join(f"{name} double" for name in MEASURES)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", "lang").mapInArrow(_measured, f"doc_id {kind}, {counts}, kin string, {measures}")
+    return docs.select("doc_id", "text", "lang").mapInArrow(_measured, f"doc_id {kind}, {counts}, kin string, script string, {measures}")
+
+
+def sized(measured: DataFrame) -> DataFrame:
+    """``measured`` with the length class of every row."""
+    power = F.floor(F.log2(F.greatest("n_pieces", F.lit(1)))).cast("int")
+    return measured.withColumn("size_class", F.least(F.greatest(power, F.lit(CLASSES[0])), F.lit(CLASSES[1])))
 
 
 def bands(measured: DataFrame, width: float = WIDTH) -> DataFrame:
-    """``kin`` and, per measure, the lowest and highest value that is accepted."""
+    """``kin``, ``script``, ``size_class``, the ``level`` and ``level_class`` they are held against and, per measure, the lowest and highest value accepted."""
+    own, every = F.col("size_class"), F.lit(ANY)
+    kin, related, all_rows = F.col("kin"), F.col("script"), F.lit("all")
+    order = [(kin, own), (kin, every), (related, own), (related, every), (all_rows, every)]
+    levels = F.array_distinct(F.array(*[F.struct(one.alias("level"), size.alias("level_class")) for one, size in order]))
+    rows = sized(measured)
     quartiles = (
-        measured.where(F.col("n_pieces") >= LEAST_TOKENS)
-        .groupBy("kin")
-        .agg(*[F.percentile_approx(name, [0.25, 0.5, 0.75], ACCURACY).alias(name) for name in MEASURES])
+        rows.where("n_pieces > 0")
+        .withColumn("against", F.explode(levels))
+        .groupBy("against")
+        .agg(
+            F.count(F.lit(1)).alias("members"),
+            *[F.percentile_approx(name, [0.25, 0.5, 0.75], ACCURACY).alias(name) for name in MEASURES],
+        )
     )
 
     def limits(name: str) -> list[Column]:
@@ -210,7 +242,16 @@ def bands(measured: DataFrame, width: float = WIDTH) -> DataFrame:
         reach = F.greatest((high - low) * width, F.abs(middle) * LEAST_WIDTH)
         return [(low - reach).alias(f"{name}_low"), (high + reach).alias(f"{name}_high")]
 
-    return quartiles.select("kin", *[limit for name in MEASURES for limit in limits(name)])
+    limited = quartiles.select("against", "members", *[limit for name in MEASURES for limit in limits(name)])
+    groups = rows.select("kin", "script", "size_class").distinct()
+    chosen = (
+        groups.select("*", F.posexplode(levels).alias("place", "against"))
+        .join(limited, "against")
+        .where((F.col("members") >= LEAST_GROUP) | (F.col("against.level") == "all"))
+        .groupBy("kin", "script", "size_class")
+    )
+    names = ["against.level", "against.level_class", *[f"{name}_{side}" for name in MEASURES for side in ("low", "high")]]
+    return chosen.agg(F.min_by(F.struct(*names), "place").alias("band")).select("kin", "script", "size_class", "band.*")
 
 
 def judged(measured: DataFrame) -> DataFrame:
@@ -220,13 +261,12 @@ def judged(measured: DataFrame) -> DataFrame:
     outside = F.lit(False)
     for name in MEASURES:
         outside = outside | ~F.col(name).between(F.col(f"{name}_low"), F.col(f"{name}_high"))
-    fertility = (F.col("n_pieces") >= LEAST_TOKENS) & F.coalesce(outside, F.lit(False))
-    # A language may hold most rows: its one row of bands is repeated per salt, and its documents are dealt over them.
+    # A language may hold most rows: its rows of bands are repeated per salt, and its documents are dealt over them.
     salted = bands(measured).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = measured.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "word_chars", "n_pieces"), F.lit(SALTS)).cast("int"))
+    dealt = sized(measured).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "word_chars", "n_pieces"), F.lit(SALTS)).cast("int"))
     return (
-        dealt.join(salted, ["kin", "_salt"], "left")
-        .withColumns({"base_failed": few | repeated, "fertility_failed": fertility})
+        dealt.join(salted, ["kin", "script", "size_class", "_salt"], "left")
+        .withColumns({"base_failed": few | repeated, "fertility_failed": F.coalesce(outside, F.lit(False))})
         .withColumn("kept", ~F.col("base_failed") & ~F.col("fertility_failed"))
     )
 

@@ -307,6 +307,46 @@ def test_mix_repeats_rows_whole(docs):
 # --- quality ------------------------------------------------------------------------------------------------------------
 
 
+@pytest.fixture(scope="module")
+def measured_prose(spark):
+    pick = random.Random(31)
+    hexes = lambda n: " ".join("".join(pick.choices("0123456789abcdef", k=8)) for _ in range(n))
+    rows = [(n, prose(n, pick.choice((30, 45, 60, 90))), pick.choice(("en", "en", "de")), None, 1) for n in range(240)]
+    rows += [(1000, hexes(60), "en", None, 1), (1001, hexes(60), "xx", None, 1), (1002, hexes(60), None, None, 1), (1003, hexes(14), "yy", None, 1)]
+    rows += [(1004, prose(7, 60), "zz", None, 1), (1005, None, None, None, 1), (1006, "", "en", None, 1)]
+    return quality_rules.measure(spark.createDataFrame(rows, SCHEMA)).persist()
+
+
+def test_hex_words_fail_under_any_language_and_length(measured_prose):
+    found = {row["doc_id"]: row for row in quality_rules.judged(measured_prose).collect()}
+    assert len(found) == 247
+    assert [found[n]["fertility_failed"] for n in range(1000, 1005)] == [True, True, True, True, False]
+    assert [found[n]["kept"] for n in (1001, 1004, 1005, 1006)] == [False, True, False, False]
+    assert found[1000]["level"] == "lang:en" and found[1001]["level"] == found[1004]["level"] == "script:latin"
+    assert sum(found[n]["fertility_failed"] for n in range(240)) <= 4
+
+
+def test_bands_equal_exact_quartiles(measured_prose):
+    rows = [row for row in quality_rules.sized(measured_prose).collect() if row["n_pieces"]]
+    seen = 0
+    for band in quality_rules.bands(measured_prose).where("level IS NOT NULL").collect():
+        fits = lambda level, size: [
+            r for r in rows if level in (r["kin"], r["script"], "all") and size in (r["size_class"], quality_rules.ANY)
+        ]
+        order = [(lv, size) for lv in (band["kin"], band["script"]) for size in (band["size_class"], quality_rules.ANY)]
+        wanted = next((o for o in order if len(fits(*o)) >= quality_rules.LEAST_GROUP), ("all", quality_rules.ANY))
+        assert (band["level"], band["level_class"]) == wanted
+        mates = fits(*wanted)
+        for name in quality_rules.MEASURES:
+            values = sorted(r[name] for r in mates)
+            low, middle, high = (values[max(math.ceil(q * len(values)) - 1, 0)] for q in (0.25, 0.5, 0.75))
+            reach = max((high - low) * quality_rules.WIDTH, abs(middle) * quality_rules.LEAST_WIDTH)
+            assert band[f"{name}_low"] == pytest.approx(low - reach) and band[f"{name}_high"] == pytest.approx(high + reach)
+            seen += 1
+    assert seen >= 12
+
+
+
 def base_counts(text):
     text = text or ""
     words = WORD.findall(text)
