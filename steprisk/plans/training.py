@@ -27,12 +27,11 @@ from steprisk.functions.rowfeatures import (
 from steprisk.operators.metrics import model_evaluation, with_false_positive_rate
 from steprisk.operators.quality import validate_schema, validate_scoring_rows, validate_target
 from steprisk.operators.split import positional_split, strict_time_split
+from steprisk.plans.boosting import POSITIVE, as_model, fit_trees
 from steprisk.schema import DECISION_THRESHOLD
 from steprisk.session import shared_folder
 from steprisk.sources.runlog import log_run
 
-WEIGHT = "_weight"
-
 
 @dataclass(frozen=True)
 class Boosting:
@@ -64,23 +63,21 @@ def fit_classifier(
 ) -> PipelineModel:
     """Weighted gradient-boosted trees over the named columns; ``class_weight`` is the default weight.
 
-    The assembled rows are kept (memory, then disk) for the many passes of the fit and released after it;
-    long lineage is cut through the shared checkpoint folder every ten rounds.
+    The rows are binned once and stay in memory, then on disk, as blocks of small integers; each level of a tree is one job
+    (``boosting``). A label other than 0 and 1 is an error.
     """
-    shared_folder(train.sparkSession)
+    spark = train.sparkSession
+    shared_folder(spark)
+    known = F.coalesce(F.col(label).cast("double").isin(0.0, 1.0), F.lit(False))
+    wrong, *_ = train.agg(F.count_if(~known)).first()
+    if wrong:
+        raise ValueError(f"{label} is neither 0 nor 1 in {wrong} rows")
     if positive_weight is None:
         positive_weight = class_weight(train, label).first()["scale_pos_weight"]
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    rows = assembler.transform(
-        train.select(
-            *features,
-            F.col(label).cast("double").alias(label),
-            F.when(F.col(label) == 1, float(positive_weight)).otherwise(1.0).alias(WEIGHT),
-        )
-    ).select("features", label, WEIGHT)
-    trees = GBTClassifier(
+    rows = train.select(*features, (F.col(label) == 1).alias(POSITIVE))
+    fitted = fit_trees(rows, features, float(positive_weight), boosting)
+    classifier = GBTClassifier(
         labelCol=label,
-        weightCol=WEIGHT,
         maxIter=boosting.rounds,
         maxDepth=boosting.depth,
         maxBins=boosting.bins,
@@ -88,13 +85,9 @@ def fit_classifier(
         subsamplingRate=boosting.row_fraction,
         featureSubsetStrategy=str(boosting.column_fraction),
         seed=boosting.seed,
-        checkpointInterval=10,
     )
-    rows.persist()
-    try:
-        return PipelineModel([assembler, trees.fit(rows)])
-    finally:
-        rows.unpersist()
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return PipelineModel([assembler, as_model(spark, fitted, len(features), classifier)])
 
 
 def score(

@@ -1,14 +1,17 @@
-"""A stored classifier read as a table and walked in SQL: scores that share no code with the library that fitted it."""
+"""A stored classifier read as a table and walked node by node: scores that share no code with the library that fitted it."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from steprisk.session import findable
+
 LEAF = -1
-_TREES = "_trees_of_model"
 
 
 def stored_nodes(spark: SparkSession, path: str) -> DataFrame:
@@ -37,28 +40,37 @@ def walked_score(
 ) -> DataFrame:
     """``table`` with the probability that the trees stored at ``path`` give each row, by walking every tree.
 
-    The trees, at most rounds * 2^(depth + 1) nodes whatever the table's size, come in as one array; rows stay where
-    they are. ``inputs`` computes the named features where the table does not hold them. A NULL input counts as NaN.
+    The trees, at most rounds * 2^(depth + 1) nodes whatever the table's size, go to every task as arrays; rows stay where
+    they are, and a batch of them takes each step of a tree together. ``inputs`` computes the named features where the
+    table does not hold them. A NULL input counts as NaN.
     """
+    findable(spark)
     columns = [(inputs[feature] if inputs else F.col(feature)).cast("double") for feature in features]
-    values = F.array(*[F.coalesce(column, F.lit(float("nan"))) for column in columns])
-    trees = (
-        stored_nodes(spark, path)
-        .groupBy("tree", "weight")
-        .agg(F.array_sort(F.collect_list(F.struct("node", "feature", "threshold", "below", "above", "value"))).alias("nodes"))
-        .agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))))
-        .scalar()
-    )
+    trees: dict[int, tuple] = {}
+    for row in stored_nodes(spark, path).orderBy("tree", "node").collect():
+        weight, nodes = trees.setdefault(row.tree, (row.weight, []))
+        leaf = row.below == LEAF
+        threshold = float("nan") if row.threshold is None else row.threshold
+        children = (row.node, row.node) if leaf else (row.below, row.above)
+        nodes.append((0 if leaf else row.feature, threshold, *children, row.value))
+    walks = [(weight, *(np.array(part) for part in zip(*nodes, strict=True))) for weight, nodes in trees.values()]
 
-    def leaf(nodes: Column) -> Column:
-        def step(place: Column, _: Column) -> Column:
-            node = nodes[place]
-            child = F.when(values[node["feature"]] <= node["threshold"], node["below"]).otherwise(node["above"])
-            return F.when(node["below"] == LEAF, place).otherwise(child)
+    @F.arrow_udf("double")
+    def walked(*arrays: pa.Array) -> pa.Array:
+        return pa.array(_walked(walks, [array.to_numpy(zero_copy_only=False) for array in arrays], depth))
 
-        return nodes[F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)]
+    return table.withColumn(name, walked(*[F.coalesce(column, F.lit(float("nan"))) for column in columns]))
 
-    margin = F.aggregate(
-        F.col(_TREES), F.lit(0.0), lambda total, tree: total + tree["weight"] * leaf(tree["nodes"])["value"]
-    )
-    return table.withColumn(_TREES, trees).withColumn(name, 1 / (1 + F.exp(-2 * margin))).drop(_TREES)
+
+def _walked(walks: Sequence[tuple], columns: Sequence[np.ndarray], depth: int) -> np.ndarray:
+    rows = len(columns[0])
+    values, row = np.concatenate(columns), np.arange(rows)
+    margin = np.zeros(rows)
+    for weight, feature, threshold, below, above, value in walks:
+        place = np.zeros(rows, "int64")
+        for _ in range(depth):
+            goes = values.take(feature.take(place) * rows + row) <= threshold.take(place)
+            place = np.where(goes, below.take(place), above.take(place))
+        margin += weight * value.take(place)
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-2 * margin))

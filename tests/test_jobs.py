@@ -13,6 +13,7 @@ from steprisk.operators.history import behavioral_features
 from steprisk.operators.metrics import threshold_sweep
 from steprisk.operators.quality import quality_report
 from steprisk.plans import lifecycle, monitoring, training, trees
+from steprisk.plans import boosting as boosting_module
 from steprisk.plans.training import Boosting
 from steprisk.schema import DRIFT_FEATURES, DRIFT_REPORT, FEATURE_TABLE, LIFECYCLE_REPORT, TRANSACTIONS
 from steprisk.sources import features as feature_source
@@ -180,6 +181,47 @@ def test_bins_reach_the_fit(spark):
     assert found == {32: 0, 1000: 4}
 
 
+def test_fit_uses_all_cores_and_few_jobs(spark):
+    """Rows of a single input partition are fitted by several tasks, and a level of a tree is one job of one stage."""
+    rows = spark.range(0, 4000, 1, 1).select((F.col("id") % 97).alias("x"), (F.col("id") % 97 > 60).cast("int").alias("isFraud"))
+    context, seen = spark.sparkContext, []
+    for rounds in (2, 6):
+        context.setJobGroup(f"fit-{rounds}", "fit")
+        training.fit_classifier(rows, ["x"], boosting=Boosting(rounds=rounds, depth=3), positive_weight=2.0)
+        tracker = context.statusTracker()
+        stages = [tracker.getJobInfo(job).stageIds for job in tracker.getJobIdsForGroup(f"fit-{rounds}")]
+        seen.append((len(stages), max(tracker.getStageInfo(at).numTasks for ids in stages for at in ids if tracker.getStageInfo(at))))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert seen[1][0] - seen[0][0] <= 4 * 3 and min(tasks for _, tasks in seen) >= context.defaultParallelism
+
+
+def test_fit_goes_on_where_margins_are_worked_out_anew(spark, monkeypatch):
+    rows = spark.range(600).select(
+        (F.col("id") * 7919 % 601).alias("x"), F.when(F.col("id") % 5 > 0, F.col("id") % 13).alias("z"),
+        (F.col("id") * 7919 % 601 + F.col("id") % 13 > 400).cast("int").alias("isFraud"),
+    )
+    found = []
+    for after in (60, 2):
+        monkeypatch.setattr(boosting_module, "REBASE", after)
+        model = training.fit_classifier(rows, ["x", "z"], boosting=Boosting(rounds=7, depth=3), positive_weight=1.0)
+        found.append([row.score for row in training.score(model, rows).orderBy("x").collect()])
+    assert found[0] == found[1] and len(set(found[0])) > 5
+
+
+def test_missing_values_are_split_from_all_others(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") % 4 > 0, F.col("id")).alias("x"), (F.col("id") % 4 == 0).cast("int").alias("isFraud"))
+    model = training.fit_classifier(rows, ["x"], boosting=Boosting(rounds=1, depth=1, row_fraction=1.0), positive_weight=1.0)
+    assert training.score(model, rows).where("(score > 0.5) != (isFraud = 1)").isEmpty()
+    with pytest.raises(ValueError, match="neither 0 nor 1"):
+        training.fit_classifier(rows.withColumn("isFraud", F.lit(2)), ["x"], boosting=FEW, positive_weight=1.0)
+
+
+def test_thresholds_of_a_rare_class_are_as_many_as_its_weight(spark):
+    rows = spark.range(20000).select(F.col("id").cast("double").alias("x"), (F.col("id") >= 19800).alias("_positive"))
+    (at,) = boosting_module.split_candidates(rows, ["x"], 32, 99.0)
+    assert 14 <= sum(at >= 19800) <= 17 and len(at) == 31
+
+
 def test_scoring_reads_only_model_inputs(spark, champion, features):
     scored = training.score_feature_table(champion, features).select("event_id", "score")
     plan = scored._jdf.queryExecution().executedPlan().toString()
