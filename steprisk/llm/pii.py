@@ -3,8 +3,8 @@
 * Base spans: e-mail addresses, IP addresses, card and phone numbers by fixed patterns and checks.
 * Candidates: looser generators propose spans of six kinds (those four, credentials and personal numbers), which may
   overlap each other and the base spans. Format and context give their features.
-* Labels: gradient-boosted trees are fitted on the candidates of at most about ``FIT_DOCUMENTS`` documents taken by hash (the
-  bound of the labelled sample). Positive: overlaps a base span of its kind, or is named as a credential or personal number
+* Labels: gradient-boosted trees are fitted on the labelled candidates of all documents but a fifth by hash, which is held out for
+  the thresholds. Positive: overlaps a base span of its kind, or is named as a credential or personal number
   right before. Negative: cannot be of its kind (failed checks, dates, plain long numbers, unnamed and unassigned strings, data of another kind).
   All others carry no label: they are what the trees decide. What makes the positives sure, their anchor (the plus, the at
   sign, the naming word), is hidden from the features, so the trees judge the rest of the format and the context.
@@ -18,7 +18,7 @@
 A span's places come from the texts between the matches: ``split`` and ``regexp_extract_all`` walk the same matches.
 
 Defined results: a null text is an empty one and has no span. Base spans always stay; a learned span is added only if it
-overlaps none of them, nor a learned one before it. If the sample lacks candidates of either class, nothing is learned or added.
+overlaps none of them, nor a learned one before it. If the documents lack candidates of either class, nothing is learned or added.
 Rows with null or equal ids are treated one by one. Columns other than those named play no role. An empty table gives none.
 """
 
@@ -74,7 +74,6 @@ FEATURES = (
     "open_after", "context_words", "context_letters", "context_digits", "generator", "switches", "capitals", "assigned",
     "quoted", "digest_words",
 )
-FIT_DOCUMENTS = 20_000
 PRECISION = 0.99
 ROUNDS, DEPTH = 16, 4
 # The labels are weak: a few odd candidates must not get a leaf of their own.
@@ -265,12 +264,11 @@ def _nodes(model: GBTClassificationModel) -> tuple:
 NOTHING = Judge((), (), (math.inf,) * len(ALL_KINDS))
 
 
-def labelled_candidates(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> DataFrame:
-    """Labelled candidates of a bounded hash sample of ``docs`` with their features; ``held_out`` goes by document."""
-    share = max(1, -(-docs.count() // fit_documents))
-    key = F.xxhash64(F.lit(5), "doc_id", "text") if share == 1 else F.xxhash64(F.lit(5), "doc_id")
-    sample = docs.where(F.pmod(key, F.lit(share)) == 0).select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = sample.select("key", "text", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("found"))
+def labelled_candidates(docs: DataFrame) -> DataFrame:
+    """Labelled candidates of all ``docs`` with their features; ``held_out`` goes by document."""
+    key = F.xxhash64(F.lit(5), "doc_id", "text")
+    texts = docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    spans = texts.select("key", "text", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("found"))
     found = written(
         spans.where(F.size("found") > 0)
         .select("key", "text", "base", F.explode("found").alias("span"))
@@ -302,9 +300,9 @@ def _threshold(bins: list[tuple[int, int, float]], precision: float) -> float:
     return math.log(probability / (1 - probability)) / 2
 
 
-def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS, precision: float = PRECISION) -> Judge:
+def fit(docs: DataFrame, precision: float = PRECISION) -> Judge:
     """Trees and thresholds from the candidates of ``docs`` (``doc_id``, ``text``); ``NOTHING`` if there is nothing to learn."""
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(labelled_candidates(docs, fit_documents))
+    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(labelled_candidates(docs))
     learned_from, held_out = ready.where("not held_out"), ready.where("held_out")
     if learned_from.select("label").distinct().count() < 2:
         return NOTHING

@@ -760,6 +760,13 @@ def test_threshold_of_a_kind():
     assert pii._threshold([(90, 90, 90.0), (70, 10, 8.0)], 0.99) == pytest.approx(margin(0.805))
 
 
+def test_every_document_is_learned_from(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("write to x"), "id", F.lit("@mail.example, please")).alias("text"))
+    found = pii.labelled_candidates(docs).where("label = 1").groupBy("held_out").count().collect()
+    counts = {row["held_out"]: row["count"] for row in found}
+    assert sum(counts.values()) == 30_000 and 5_500 < counts[True] < 6_500
+
+
 def test_nothing_to_learn_adds_nothing(spark):
     table = spark.createDataFrame([(1, "call 555 123 456 7", None, None, 1), (2, None, None, None, 1)], SCHEMA)
     for some in (table, table.where("false")):
