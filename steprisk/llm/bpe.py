@@ -31,8 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, MEMO_RUNS, MEMO_WORDS, PLAIN, RUNS, Memo, slices, vocabulary_path
+from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, PLAIN, RUNS, Memo, slices, vocabulary_path
 
+MEMO_RUNS = 1_000_000  # a run that is not there is merged by Python
+MEMO_WORDS = 200_000
 _PLACE = (1 << 40) - 1
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from steprisk.llm.common import shared_path, written
-from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, WordTokenizer
+from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, WordTokenizer, one_by_one
 
 SEQUENCE = 128
 END_ID, PAD_ID = 1, 0xFFFF  # no vocabulary id is that high
@@ -100,7 +100,7 @@ def sequences(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFram
         tokenizer, part, place = WordTokenizer.of(vocabulary), TaskContext.get().partitionId(), 0
         held, waiting = [], 0
         for batch in batches:
-            for raw in tokenizer.encode(batch.column(0).to_pylist()):
+            for raw in tokenizer.encode(one_by_one(batch.column(0))):
                 size = len(raw) // IDS.itemsize
                 rows = np.full(-(-(size + 1) // SEQUENCE) * SEQUENCE, PAD_ID, dtype=RECORD)
                 rows[:size], rows[size] = np.frombuffer(raw, IDS), END_ID

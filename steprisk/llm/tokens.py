@@ -1,22 +1,26 @@
 """Token ids of whole texts from a public tokenizer file, with bounded memos.
 
 The vocabulary drops white space, cuts text into runs of letters, single digits and runs of signs, and merges within a
-run only. Runs repeat; a memo makes that cheap. A text of plain Latin script is cut here, exactly as the tokenizer cuts
-it, and new runs are merged by the tokenizer's own model. In any other text, words that are not plain take the
-tokenizer's whole way. The memos hold at most ``MEMO_RUNS`` runs and ``MEMO_WORDS`` such words; a full one is emptied.
+run only. Words repeat; a memo makes that cheap. A text of plain Latin script is cut here, exactly as the tokenizer cuts
+it, and the runs of new words are merged by the tokenizer's own model. In any other text, words that are not plain take the
+tokenizer's whole way. A memo with ``MEMO_PLAIN`` plain words and runs, or ``MEMO_WORDS`` others, is put aside and begun anew;
+what comes again is taken over, the rest goes at the next turn.
 Long texts are worked off in slices that end at a space or line feed.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-MEMO_RUNS = 1_000_000
-MEMO_WORDS = 200_000
+# About 300 bytes an entry, in every Python worker; a run that is not there costs 3 microseconds.
+MEMO_PLAIN = 200_000
+MEMO_WORDS = 50_000
 MEMO_CHARACTERS = 48
 SLICE = 1 << 20
 # ASCII but the apostrophe, and precomposed Latin letters: lower-casing them is letter by letter, normal forms leave them
@@ -34,13 +38,20 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
 
 
 class Memo(dict):
-    """Makes and keeps what is missing."""
+    """Makes and keeps what is missing; what is used again outlives a ``turn``."""
 
     def __init__(self, make):
         self.make = make
+        self.before: dict = {}
+
+    def turn(self, most: int) -> None:
+        """With more than ``most`` entries: put them aside, in place of those put aside before."""
+        if len(self) > most:
+            self.before = dict(self)
+            self.clear()
 
     def __missing__(self, word: str | bytes) -> bytes:
-        ids = self.make(word)
+        ids = self.before.get(word) or self.make(word)
         if len(word) <= MEMO_CHARACTERS:
             self[word] = ids
         return ids
@@ -56,7 +67,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.model = self.tokenizer.model
-        self.words, self.runs = Memo(self._word), Memo(self._run)
+        self.words, self.plain = Memo(self._word), Memo(self._plain)
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         self.alphabet = {byte: 256 + n for n, byte in enumerate(b for b in range(256) if b not in printable)}
@@ -73,16 +84,22 @@ class WordTokenizer:
 
     def _run(self, run: str) -> bytes:
         spelled = run if run.isascii() else run.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([token.id for token in self.model.tokenize(spelled)], IDS).tobytes()
+        ids = [token.id for token in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, word: str) -> bytes:
+        runs = RUNS.findall(word)
+        return self._run(word) if len(runs) == 1 else b"".join(map(self.plain.__getitem__, runs))
 
     def _word(self, word: str) -> bytes:
         return np.array(self._ids(word), IDS).tobytes()
 
     def _encoded(self, part: str) -> bytes:
         if "<|" not in part and PLAIN.fullmatch(part):
-            return b"".join(map(self.runs.__getitem__, RUNS.findall(part.lower())))
+            # Of a plain part, split() takes the same six characters for white space as RUNS does.
+            return b"".join(map(self.plain.__getitem__, part.lower().split()))
         return b"".join(
-            b"".join(map(self.runs.__getitem__, RUNS.findall(word.lower())))
+            b"".join(map(self.plain.__getitem__, word.lower().split()))
             if "<|" not in word and PLAIN.fullmatch(word)
             else self.words[word]
             for word in part.replace("\n", " ").split(" ")
@@ -94,12 +111,16 @@ class WordTokenizer:
             yield b"".join(map(self._checked, slices(text or "")))
 
     def _checked(self, part: str) -> bytes:
-        for memo, most in ((self.words, MEMO_WORDS), (self.runs, MEMO_RUNS)):
-            if len(memo) > most:
-                memo.clear()
+        self.words.turn(MEMO_WORDS)
+        self.plain.turn(MEMO_PLAIN)
         return self._encoded(part)
 
 
+def one_by_one(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, of which only one at a time is a Python string."""
+    return (text.as_py() for text in column)
+
+
 def slices(text: str) -> Iterator[str]:
     """The text in slices of about ``SLICE`` characters that end before a space or a line feed."""
     start = 0

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -163,6 +164,19 @@ def test_tokens_equal_the_tokenizer(rows):
         assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_memos_stay_small():
+    """A worker's memos are part of what an executor may take, whatever the number of different words."""
+    own = tokens.WordTokenizer(tokens.DEFAULT_VOCABULARY)
+    letters = [chr(97 + n) for n in range(26)]
+    words = ["".join(letters[n // 26**k % 26] for k in range(5)) for n in range(7, 1_000_007)]
+    for start in range(0, len(words), 1000):
+        assert len(next(own.encode([" ".join(words[start : start + 1000])])))
+    memos = [memo for memo in vars(own).values() if isinstance(memo, tokens.Memo)]
+    held = memos + [getattr(memo, "before", {}) for memo in memos]
+    assert sum(map(len, held)) <= 402_000
+    assert sum(sys.getsizeof(thing) for memo in held for thing in [memo, *memo, *memo.values()]) < 80 << 20
+
+
 def test_slices_join_to_the_text():
     text = prose(5, 400_000)
     parts = list(tokens.slices(text))
