@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from steprisk.llm.common import written
-from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, WordTokenizer
+from steprisk.llm.tokens import DEFAULT_VOCABULARY, IDS, WordTokenizer, one_by_one
 
 CAPACITY = 2048
 UNIT = 8
@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = DEFAULT_
         number = TaskContext.get().partitionId() << 36
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(one_by_one(batch.column(1)))):
                 ids += end
                 total = len(ids) // IDS.itemsize
                 for start in range(0, total, capacity):
