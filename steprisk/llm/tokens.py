@@ -10,6 +10,7 @@ Long texts are worked off in slices that end at a space or line feed.
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 from collections.abc import Iterable, Iterator
@@ -70,7 +71,9 @@ class WordTokenizer:
         self.words, self.plain = Memo(self._word), Memo(self._plain)
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-        self.alphabet = {byte: 256 + n for n, byte in enumerate(b for b in range(256) if b not in printable)}
+        signs = iter(range(256, 512))
+        self.alphabet = "".join(chr(byte if byte in printable else next(signs)) for byte in range(256))
+        self.packed = [struct.Struct(f"<{n}I").pack for n in range(MEMO_CHARACTERS)]
 
     @classmethod
     def of(cls, vocabulary: str = DEFAULT_VOCABULARY) -> WordTokenizer:
@@ -83,11 +86,15 @@ class WordTokenizer:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _run(self, run: str) -> bytes:
-        spelled = run if run.isascii() else run.encode().decode("latin-1").translate(self.alphabet)
+        spelled = run if run.isascii() else codecs.charmap_decode(run.encode(), "strict", self.alphabet)[0]
         ids = [token.id for token in self.model.tokenize(spelled)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self.packed[len(ids)](*ids) if len(ids) < len(self.packed) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._run(word)
+        if word[:-1].isalpha():  # what follows the letters is one digit or sign, a run of its own
+            return self.plain[word[:-1]] + self.plain[word[-1]]
         runs = RUNS.findall(word)
         return self._run(word) if len(runs) == 1 else b"".join(map(self.plain.__getitem__, runs))
 

@@ -164,6 +164,18 @@ def test_tokens_equal_the_tokenizer(rows):
         assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_words_of_letters_need_no_pattern(monkeypatch):
+    """Most new words are letters with at most one sign after them; cutting those by the pattern took a tenth of the tokenizing."""
+    own, asked = tokens.WordTokenizer(tokens.DEFAULT_VOCABULARY), []
+    texts = ["abc Stra\u00dfe, x, \u00e9t\u00e9. don3 a1 7 , -- a,b cd!! " + "\u00e9" * 90 + " " + "q" * 90, "\u0130x abc, ab\u0300c"]
+    want = [own.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    found = type("Counted", (), {"findall": lambda self, word: asked.append(word) or RUNS.findall(word)})()
+    RUNS = tokens.RUNS
+    monkeypatch.setattr(tokens, "RUNS", found)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(texts)] == want
+    assert not {"abc", "stra\u00dfe,", "x,", "\u00e9t\u00e9.", "don3", "a1"} & set(asked) and "a,b" in asked
+
+
 def test_memos_stay_small():
     """A worker's memos are part of what an executor may take, whatever the number of different words."""
     own = tokens.WordTokenizer(tokens.DEFAULT_VOCABULARY)
@@ -376,6 +388,32 @@ def base_counts(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), repeated, len(covered)
 
 
+def test_new_words_of_many_texts_take_one_call(monkeypatch):
+    """The ids are those of every word on its own, whatever the memo holds; endless words are not kept."""
+    pieces = quality_rules.PieceTokenizer(quality_rules.BYTE_VOCABULARY)
+    texts = [f"w{n} Straße, 東京 w{n % 7} {'x' * 60} don't".encode().split() for n in range(40)] + [[], [b"\xed\xa0\x80", b"a"]]
+    alone = [[i for word in words for i in pieces.processor.encode(word.decode("utf-8", "replace"))] for words in texts]
+    calls, encode = [], pieces.processor.encode
+    monkeypatch.setattr(pieces.processor, "encode", lambda *a, **k: calls.append(1) or encode(*a, **k), raising=False)
+    monkeypatch.setattr(quality_rules, "MEMO_WORDS", 30)
+    for _ in range(3):
+        assert [ids.tolist() for ids in pieces.encode(texts)] == alone
+    assert len(calls) <= 3 and b"x" * 60 not in pieces.memo
+
+
+def test_repeated_windows_scripts_and_entropy_by_their_definitions():
+    pick = random.Random(5)
+    for _ in range(60):
+        words = [bytes([pick.choice(b"ab")]) for _ in range(pick.randint(0, 40))]
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        held = {i + k for i, window in enumerate(windows) if windows.count(window) > 1 for k in range(5)}
+        assert quality_rules.repeat_words(words) == len(held)
+        ids = np.array([pick.choice((3, 7, 65_000)) for _ in range(pick.randint(2, 30))], "<u2")
+        shares = [ids.tolist().count(i) / len(ids) for i in set(ids.tolist())]
+        assert quality_rules.relative_entropy(ids) == pytest.approx(-sum(x * np.log2(x) for x in shares) / np.log2(len(ids)))
+    assert [quality_rules.script(t) for t in ("", "é1", "яб a", "яб a\U0001f600", "אב a")] == ["none", "latin", "cyrillic", "cyrillic", "hebrew"]
+
+
 def test_quality_counts(docs, rows):
     want = Counter()
     for doc_id, text, _, _ in rows:
