@@ -579,6 +579,34 @@ def test_fuzzy_passage(spark):
     assert row["start_word"] in range(198, 203) and row["end_word"] == 320 and 115 <= row["equal_words"] <= 120
 
 
+def test_only_seeds_of_two_texts_go_on(spark, monkeypatch):
+    """Places of a seed that one text holds, however often, are not moved or written any more; those of two texts all are."""
+    for name, value in (("BUCKET_SEEDS", 60), ("CHUNK_SEEDS", 40), ("BLOB_SEEDS", 7)):
+        monkeypatch.setattr(passages, name, value)
+    pick, size, texts = random.Random(8), 30, []
+    for doc in range(40):
+        n = 0 if doc == 3 else pick.randint(1, size)
+        # A key of every text, some of a few, and one's own, which it may hold twice.
+        keys = [pick.choice([1, pick.randint(2, 60), 1000 + doc, 1000 + doc, 5000 + 50 * doc + k]) * 0x9E3779B97F4A7C15 % (1 << 64) - (1 << 63) for k in range(n)]
+        at = sorted(pick.sample(range(100), n))
+        texts.append((doc - 5, 104, n, at, keys))
+    holders = {}
+    for doc, _, _, _, keys in texts:
+        for key in keys:
+            holders.setdefault(key, set()).add(doc)
+    want = Counter(
+        (doc, at[i], keys[i], at[i - 1] if i else -1, at[i + 1] if i + 1 < n else 104 - passages.WORDS + 1)
+        for doc, _, n, at, keys in texts
+        for i in range(n)
+        if len(holders[keys[i]]) > 1
+    )
+    schema = "doc long, n_words long, n_seeds long, at array<long>, keys array<long>"
+    for parts in (1, 6):
+        found = passages._shared_occurrences(spark.createDataFrame(texts, schema).repartition(parts))
+        assert Counter(map(tuple, found.collect())) == want
+    assert passages._shared_occurrences(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_passages_of_common_lines_find_their_partner(spark):
     """Every line of a passage is common elsewhere, so no line's leading document holds the passage."""
     pick = random.Random(5)
