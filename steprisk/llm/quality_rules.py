@@ -25,14 +25,15 @@ from __future__ import annotations
 import functools
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from steprisk.llm.common import mixed, written
-from steprisk.llm.tokens import DEFAULT_VOCABULARY, Memo, WordTokenizer, vocabulary_path
+from steprisk.llm.common import written
+from steprisk.llm.tokens import DEFAULT_VOCABULARY, MEMO_CHARACTERS, Memo, WordTokenizer, vocabulary_path
 
 BYTE_VOCABULARY = "piece_bpe_32k.model"
 WIDTH = 3.0
@@ -42,8 +43,11 @@ LEAST_GROUP = 20
 CLASSES, ANY = (4, 10), -1
 ACCURACY = 2000
 WINDOW = 5
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SALTS = 256
-MEMO_WORDS = 400_000
+LOW_CODES = 0x800
+GROUP_CHARACTERS = 1 << 20  # texts whose new words are encoded together
+MEMO_WORDS = 200_000
 MEASURES = ("chars_per_piece", "chars_per_word_token", "byte_share", "entropy")
 
 _SYMBOLS = b"#*$%&|<>"
@@ -59,10 +63,10 @@ _SCRIPTS = (
 
 
 @functools.cache
-def _script_table() -> np.ndarray:
-    """Per code point: 1 + the place of its range in ``_SCRIPTS`` for a letter, else 0."""
-    table = np.zeros(0x110000, dtype=np.uint8)
-    letters = np.fromiter((code for code in range(0x110000) if chr(code).isalpha()), dtype=np.int64)
+def _script_table(end: int) -> np.ndarray:
+    """Per code point below ``end``: 1 + the place of its range in ``_SCRIPTS`` for a letter, else 0."""
+    table = np.zeros(end, dtype=np.uint8)
+    letters = np.fromiter((code for code in range(end) if chr(code).isalpha()), dtype=np.int64)
     starts = np.array([start for start, _ in _SCRIPTS])
     table[letters] = 1 + np.maximum(np.searchsorted(starts, letters, "right") - 1, 0)
     return table
@@ -71,7 +75,11 @@ def _script_table() -> np.ndarray:
 def script(text: str) -> str:
     """The script with the most letters; ``none`` without letters. Whole text; ties go to the earlier range."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    found = np.bincount(_script_table()[codes], minlength=len(_SCRIPTS) + 1)[1:]
+    if len(codes) and codes.max() < LOW_CODES:
+        counts = np.bincount(codes, minlength=LOW_CODES)
+        found = np.bincount(_script_table(LOW_CODES), counts, len(_SCRIPTS) + 1)[1:].astype(np.int64)
+    else:
+        found = np.bincount(_script_table(0x110000)[codes], minlength=len(_SCRIPTS) + 1)[1:]
     if not found.any():
         return "none"
     counts = Counter()
@@ -91,11 +99,12 @@ def repeat_words(words: list[bytes]) -> int:
     ids = np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64)
     keys = np.zeros(windows, dtype=np.uint64)
     for place in range(WINDOW):
-        keys = mixed(keys + ids[place : place + windows])
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
+        keys = keys * FACTOR + ids[place : place + windows]
+    ordered = np.sort(keys)
+    same = ordered[1:] == ordered[:-1]
     if not same.any():
         return 0
+    order = np.argsort(keys, kind="stable")
     # Equal keys are candidates; the words themselves decide.
     suspects = np.zeros(windows, dtype=bool)
     suspects[order[1:][same]] = True
@@ -143,7 +152,7 @@ class PieceTokenizer:
         self.processor = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(vocabulary))
         size = self.processor.get_piece_size()
         self.is_byte = np.fromiter((self.processor.is_byte(i) for i in range(size)), dtype=bool, count=size)
-        self.memo = Memo(self._word)
+        self.memo = Memo(None)  # filled by ``encode``
 
     @classmethod
     def of(cls, vocabulary: str) -> PieceTokenizer:
@@ -151,45 +160,69 @@ class PieceTokenizer:
             cls._loaded[vocabulary] = cls(vocabulary)
         return cls._loaded[vocabulary]
 
-    def _word(self, word: bytes) -> bytes:
-        return np.array(self.processor.encode(word.decode("utf-8", "replace")), "<u2").tobytes()
-
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, words)), "<u2")
+    def encode(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """Ids of the words of each text. New words of all texts take one call: a call a word costs more than its ids."""
+        self.memo.turn(MEMO_WORDS)
+        memo, before = self.memo, self.memo.before
+        missing = [word for word in set(chain.from_iterable(texts)) if word not in memo]
+        memo.update((word, before[word]) for word in missing if word in before)
+        new = [word for word in missing if word not in before]
+        found = self.processor.encode([word.decode("utf-8", "replace") for word in new], num_threads=1) if new else []
+        raw = np.fromiter(chain.from_iterable(found), "<u2").tobytes()
+        end = 0
+        for word, ids in zip(new, found):
+            begin, end = end, end + 2 * len(ids)
+            memo[word] = raw[begin:end]
+        encoded = [np.frombuffer(b"".join(map(memo.__getitem__, words)), "<u2") for words in texts]
+        for word in new:
+            if len(word) > MEMO_CHARACTERS:
+                del memo[word]
+        return encoded
 
 
 def relative_entropy(ids: np.ndarray) -> float:
     """Entropy of the ids over that of as many different ones; 1 for fewer than two."""
     if len(ids) < 2:
         return 1.0
-    share = np.bincount(ids)
-    share = share[share > 0] / len(ids)
+    ids = np.sort(ids)
+    share = np.diff(np.flatnonzero(np.append(ids[1:] != ids[:-1], True)), prepend=-1) / len(ids)
     return float(-(share * np.log2(share)).sum() / np.log2(len(ids)))
 
 
+def _grouped(texts: list[str | None]) -> Iterator[list[str]]:
+    """Runs of texts of about ``GROUP_CHARACTERS`` altogether."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= GROUP_CHARACTERS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pieces, tokens = PieceTokenizer.of(BYTE_VOCABULARY), WordTokenizer.of(DEFAULT_VOCABULARY)
     for batch in batches:
         rows = []
         texts, languages = (batch.column(i).to_pylist() for i in (1, 2))
-        for text, language, word_ids in zip(texts, languages, tokens.encode(texts)):
-            text = text or ""
-            n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words = base_counts(text)
-            ids = pieces.encode(words)
-            n_tokens = len(word_ids) // 4
-            kind = "script:" + script(text)
-            rows.append(
-                (
-                    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, len(ids),
-                    "lang:" + language if language is not None else kind, kind,
-                    word_chars / len(ids) if len(ids) else None,
-                    word_chars / n_tokens if n_tokens else None,
-                    float(pieces.is_byte[ids].mean()) if len(ids) else None,
-                    relative_entropy(ids),
-                )
-            )
+        for group in _grouped(texts):
+            counted = [base_counts(text) for text in group]
+            encoded = pieces.encode([words for *_, words in counted])
+            for text, word_ids, ids, (n_words, word_chars, *others, _) in zip(group, tokens.encode(group), encoded, counted):
+                n_tokens = len(word_ids) // 4
+                language, kind = languages[len(rows)], "script:" + script(text)
+                rows.append(
+                    (
+                        n_words, word_chars, *others, len(ids),
+                        "lang:" + language if language is not None else kind, kind,
+                        word_chars / len(ids) if len(ids) else None,
+                        word_chars / n_tokens if n_tokens else None,
+                        float(pieces.is_byte[ids].mean()) if len(ids) else None,
+                        relative_entropy(ids),
+                    )
+                )
         columns = list(zip(*rows)) if rows else [[] for _ in _MEASURED]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *[pa.array(c, t) for c, (_, t) in zip(columns, _MEASURED)]],
