@@ -1,10 +1,12 @@
 """Operators against brute force on small tables, and the odd cases every operator must bear."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 
@@ -655,6 +657,50 @@ def test_ends_are_aligned_with_gaps():
     assert passages.reach(one, two) == (10, 10, 9)
 
 
+def test_alignment_equals_whole_tables():
+    """The rows of bits and of lists against tables of all cells."""
+    pick, low = random.Random(12), -(10**6)
+    for _ in range(300):
+        size = pick.choice([3, 8, 1000])
+        one, two = ([pick.randrange(size) for _ in range(pick.randint(1, 40))] for _ in range(2))
+        if pick.random() < 0.6:
+            two = [word for word in one if pick.random() < 0.85] or [0]
+        table = [[0] * (len(two) + 1) for _ in range(len(one) + 1)]
+        for i, k in itertools.product(range(len(one)), range(len(two))):
+            table[i + 1][k + 1] = max(table[i][k + 1], table[i + 1][k], table[i][k] + (one[i] == two[k]))
+        assert passages.common(one, two) == table[-1][-1]
+        scores = {(0, k): -passages.MISMATCH * k for k in range(min(passages.BAND, len(two)) + 1)}
+        best, end = 0, (0, 0)
+        for i in range(1, len(one) + 1):
+            for k in range(max(0, i - passages.BAND), min(len(two), i + passages.BAND) + 1):
+                across = scores.get((i - 1, k - 1), low) + (1 if k and one[i - 1] == two[k - 1] else -passages.MISMATCH)
+                scores[i, k] = max(across, scores.get((i - 1, k), low) - passages.MISMATCH, scores.get((i, k - 1), low) - passages.MISMATCH)
+            row = [(scores[i, k], -k) for k in range(len(two) + 1) if (i, k) in scores]
+            top, at = max(row, default=(low, 0))
+            if top > best:
+                best, end = top, (i, -at)
+                if len(one) - i >= passages.BAND and one[i : i + passages.BAND] == two[-at : passages.BAND - at]:
+                    break
+            if top < best - passages.DROP:
+                break
+        found = passages._step(np.array(one, np.uint64), np.array(two, np.uint64))
+        assert found[:2] == end and (2 * found[2] >= best)
+
+
+def test_chains_and_alignments_take_little_time():
+    """CPU seconds of the two steps that most of the query's time went to; both took several times as long."""
+    pick, at = random.Random(13), np.arange(0, 900_000, 3)
+    began = time.process_time()
+    (chain,) = passages.chains(at, at + 7)
+    assert len(chain) == len(at) and time.process_time() - began < 0.5
+    one = [pick.randrange(1, 10**9) for _ in range(20_000)]
+    two = [0 if n % 7 == 6 else word for n, word in enumerate(one)]
+    one, two = np.array(one, np.uint64), np.array(two, np.uint64)
+    began = time.process_time()
+    assert passages.reach(one, two) == (19_998, 19_998, 19_998 - 2_856)
+    assert time.process_time() - began < 0.5
+
+
 def test_chains_equal_quadratic_search():
     pick = random.Random(9)
     for _ in range(60):
