@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -827,15 +829,20 @@ def champion_vs_challenger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lifecycle_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Drift report of the proxy score, then trigger, challenger, comparison with the champion and gate."""
+    """Drift report of the proxy score, then trigger, challenger, comparison with the champion and gate.
+
+    The champion is fitted meanwhile: a fit is a long row of short jobs, which leave most of a cluster idle."""
     table = feature_table(spark, folder)
-    report = lifecycle.lifecycle_report(
-        drift_report(scored_features(spark, folder), threshold=PROXY_THRESHOLD),
-        table,
-        champion(spark, folder),
-        scratch(spark, "candidate"),
-        threshold=PROXY_THRESHOLD,
-    )
+    with ThreadPoolExecutor(1) as beside:
+        fitted = beside.submit(inheritable_thread_target(spark)(lambda: champion(spark, folder)))
+        report = lifecycle.lifecycle_report(
+            drift_report(scored_features(spark, folder), threshold=PROXY_THRESHOLD),
+            table,
+            fitted.result,
+            scratch(spark, "candidate"),
+            threshold=PROXY_THRESHOLD,
+        )
+        fitted.result()
     pair = report.select(
         "*",
         *[

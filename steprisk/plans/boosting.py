@@ -79,7 +79,8 @@ def split_candidates(rows: DataFrame, features: Sequence[str], bins: int, weight
             both = None if values is None else np.union1d(few[feature], values)
             few[feature] = both if both is not None and len(both) <= bins else None
     points = 20 * bins
-    steps = [step / points for step in range(1, points + 1)]
+    # One expression of text: as a list, every step would be a call of its own.
+    steps = F.expr(f"array({', '.join(f'{step / points!r}D' for step in range(1, points + 1))})")
     known = {name: F.when(~F.isnan(F.col(name).cast("double")), F.col(name).cast("double")) for name in features}
     asked = []
     for column, values in zip(known.values(), few, strict=True):
@@ -193,17 +194,17 @@ def _sums(turn: int, features: list, cuts: list, slots: np.ndarray, bins: int, w
     def of(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
         total = None
         for number, binned, positive, margin in blocks:
-            sign = np.where(positive, 1.0, -1.0)
-            with np.errstate(over="ignore"):
-                residual = sign if turn == 0 else 4 * sign / (1 + np.exp(2 * sign * margin))
             slot = slots.take(_places(binned, features, cuts))
             taken = slot >= 0
             if fraction < 1:
-                taken &= np.random.default_rng((seed, turn, number)).random(len(sign), dtype="float32") < fraction
+                taken &= np.random.default_rng((seed, turn, number)).random(len(taken), dtype="float32") < fraction
             at = np.flatnonzero(taken)
-            base = slot.take(at) * (2 * bins) + positive.take(at)
-            gradient = residual.take(at)
-            gradient *= np.where(positive.take(at), weight, 1.0)
+            mine = positive.take(at)
+            sign = np.where(mine, 1.0, -1.0)
+            with np.errstate(over="ignore"):
+                gradient = sign if turn == 0 else 4 * sign / (1 + np.exp(2 * sign * margin.take(at)))
+            gradient = gradient * np.where(mine, weight, 1.0)
+            base = slot.take(at) * (2 * bins) + mine
             size = wanted * bins * 2
             found = np.empty((2, len(binned), size))
             for feature, column in enumerate(binned):
@@ -327,21 +328,24 @@ def fit_trees(rows: DataFrame, features: Sequence[str], weight: float, boosting)
         width = "uint8" if max(len(at) for at in thresholds) < 256 else "int32"
         packed = rows.mapInArrow(_blocks(thresholds, width), "block long, rows long, bins binary, positive binary")
         blocks = packed.rdd.map(_unpacked(len(features), width)).persist(StorageLevel.MEMORY_AND_DISK)
-        if blocks.map(lambda block: len(block[3])).sum() == 0:
+        count = blocks.map(lambda block: len(block[3])).sum()
+        if count == 0:
             raise ValueError("no rows to fit on")
     finally:
         rows.unpersist()
-    trees, state = [], blocks
+    # A level of few rows is a job of few tasks, which leaves room for another fit at the same time; the blocks stay as they are.
+    dealt = blocks.coalesce(max(1, -(-count // BLOCK_ROWS)))
+    trees, state = [], dealt
     try:
         for turn in range(boosting.rounds):
             before = state
             if turn and turn % REBASE == 0:
-                state = blocks.map(_advance(trees)).persist(StorageLevel.MEMORY_AND_DISK)
+                state = dealt.map(_advance(trees)).persist(StorageLevel.MEMORY_AND_DISK)
             elif turn:
                 state = state.map(_advance(trees[-1:])).persist(StorageLevel.MEMORY_AND_DISK)
             tree = _fitted_tree(state, turn, thresholds, weight, boosting)
             trees.append((tree, 1.0 if turn == 0 else boosting.rate))
-            if before is not state and before is not blocks:
+            if before is not state and before is not dealt:
                 before.unpersist()
     finally:
         state.unpersist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +60,7 @@ def as_pair(metrics: DataFrame) -> DataFrame:
 def lifecycle_report(
     report: DataFrame,
     table: DataFrame,
-    champion: PipelineModel,
+    champion: PipelineModel | Callable[[], PipelineModel],
     candidate_path: str,
     champion_path: str = "",
     cutoff: int = CHALLENGER_CUTOFF_STEP,
@@ -68,7 +70,8 @@ def lifecycle_report(
 ) -> DataFrame:
     """Lifecycle report row; no row when the drift report does not call for retraining.
 
-    The challenger is fitted on the history before ``cutoff``, saved beside the champion and never promoted.
+    The challenger is fitted on the history before ``cutoff``, saved beside the champion and never promoted. A ``champion`` that
+    is a function is called after that fit, so that it can wait for a fit that runs at the same time.
     """
     spark = table.sparkSession
     trigger = retraining_trigger(report).first()
@@ -76,6 +79,7 @@ def lifecycle_report(
         return spark.createDataFrame([], LIFECYCLE_REPORT)
     candidate = train_challenger(table, cutoff, row_key, boosting)
     save_model(candidate, candidate_path)
+    champion = champion if isinstance(champion, PipelineModel) else champion()
     later = table.where(F.col("step") >= cutoff)
     scored = score_feature_table(
         candidate, score_feature_table(champion, later, "champion_score", "float"), "challenger_score", "float"

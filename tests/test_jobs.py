@@ -2,11 +2,13 @@
 
 import glob
 import json
+import threading
 
 import pyarrow.parquet as parquet
 import pytest
 from pyspark.sql import functions as F
 
+from steprisk.catalog import queries
 from steprisk.functions.rowfeatures import MODEL_FEATURES, model_columns
 from steprisk.operators.drift import SCORE_FEATURE
 from steprisk.operators.history import behavioral_features
@@ -21,6 +23,7 @@ from steprisk.sources import reports, runlog
 from steprisk.sources.events import read_events_as_transactions
 from steprisk.sources.transactions import read_transactions, typed_projection, with_row_key
 from steprisk.streaming.scoring import score_stream
+from tests.conftest import SMALL
 
 FEW = Boosting(rounds=3, depth=3)
 
@@ -304,6 +307,49 @@ def test_monitoring_and_lifecycle(spark, champion, features, tmp_path):
     training.load_model(spark, str(tmp_path / "candidate"))
 
 
+def test_lifecycle_query_fits_both_models_at_once(spark, champion, monkeypatch):
+    """Each fit waits until the other one runs."""
+    both, taken = threading.Barrier(2, timeout=90), []
+
+    def fitting(name):
+        def fit(*given):
+            both.wait()
+            taken.append(name)
+            return champion
+
+        return fit
+
+    monkeypatch.setattr(queries, "champion", fitting("champion"))
+    monkeypatch.setattr(lifecycle, "train_challenger", fitting("challenger"))
+    row = queries.QUERIES["lifecycle_report"](spark, SMALL).first()
+    assert sorted(taken) == ["challenger", "champion"]
+    assert row.retraining_recommended and row.champion_negatives == row.candidate_negatives > 0
+
+
+def test_failed_champion_fails_the_lifecycle(spark, features, champion, monkeypatch, tmp_path):
+    def broken(*given):
+        raise ValueError("no champion")
+
+    monkeypatch.setattr(queries, "champion", broken)
+    monkeypatch.setattr(lifecycle, "train_challenger", lambda *given: champion)
+    with pytest.raises(ValueError, match="no champion"):
+        queries.QUERIES["lifecycle_report"](spark, SMALL)
+
+
+def test_few_rows_are_added_up_by_few_tasks(spark, monkeypatch):
+    """A level's job has a task for every ``BLOCK_ROWS`` rows, whatever the cluster's size; the trees are those of many tasks."""
+    rows = spark.range(2_000).selectExpr("CAST(hash(id) % 100 AS DOUBLE) AS x", "CAST(hash(id) % 100 > 30 AS INT) AS isFraud")
+    parts, nodes, inner = [], [], boosting_module._fitted_tree
+    monkeypatch.setattr(boosting_module, "_fitted_tree", lambda state, *given: parts.append(state.getNumPartitions()) or inner(state, *given))
+    for size in (1 << 17, 500, 100):
+        monkeypatch.setattr(boosting_module, "BLOCK_ROWS", size)
+        trees = boosting_module.fit_trees(
+            rows.select("x", (F.col("isFraud") == 1).alias(boosting_module.POSITIVE)), ["x"], 2.0, Boosting(rounds=1, depth=3, row_fraction=1.0)
+        )
+        nodes.append([node[:1] + node[3:] for node in trees[0][0].nodes])
+    assert parts == [1, 4, 4] and nodes[0] == nodes[1] == nodes[2] and len(nodes[0]) > 1
+
+
 def test_stable_report_stops_the_lifecycle(spark, features, champion, tmp_path):
     calm = spark.createDataFrame(
         [{"metrics": [], "label_monitoring": {"fraud_rate_ratio": 1.0}, "heldout_performance": {"pr_auc": 0.95}}],
