@@ -623,6 +623,50 @@ def test_passages_of_common_lines_find_their_partner(spark):
     assert covered == set(range(120))
 
 
+def test_edited_passages_of_common_lines_find_their_partner(spark, monkeypatch):
+    """As above, with the first word of each line changed in one: neither a seed's two leaders nor a window tells the partner."""
+    monkeypatch.setattr(passages, "PAIR_BLOCK", 5, raising=False)
+    monkeypatch.setattr(passages, "PAIR_ROWS", 1, raising=False)
+    pick = random.Random(15)
+    lines = [prose(5000 + n, 12) for n in range(40)]
+    texts = []
+    for pair in range(60):
+        shared = " ".join(pick.sample(lines, 6)).split()
+        changed = [f"other{pair}" if place in (12, 24, 36, 48, 60) else word for place, word in enumerate(shared)]
+        texts += [f"{prose(6000 + 2 * pair + side, 30)} {' '.join(words)} {prose(7000 + 2 * pair + side, 30)}" for side, words in enumerate((shared, changed))]
+    table = spark.createDataFrame([(n, text, "en", "a", 1) for n, text in enumerate(texts)], SCHEMA)
+    found = passages.op7_passages(table).where("kind = 'passage'").collect()
+    assert len(found) == len(set(found))
+    covered = {r["doc_id"] for r in found if r["start_word"] <= 31 and r["end_word"] >= 101}
+    assert covered == set(range(120))
+    words = [text.split() for text in texts]
+    for r in found:
+        assert min(r["end_word"] - r["start_word"], r["partner_end"] - r["partner_start"]) >= 50 and r["identity"] >= 0.8
+        sides = words[r["doc_id"]][r["start_word"] : r["end_word"]], words[r["partner_id"]][r["partner_start"] : r["partner_end"]]
+        assert passages.common(*sides) >= r["equal_words"]
+
+
+def test_common_grams_are_counted_as_often_as_both_rows_hold_them():
+    pick = np.random.default_rng(4)
+    for rows, others, values in ((1, 1, 3), (40, 25, 4), (30, 50, 60), (20, 20, 100_000)):
+        one, two = (pick.integers(0, values, (n, 12)).astype(np.uint32) for n in (rows, others))
+        two[: min(rows, others) // 2, :7] = one[: min(rows, others) // 2, 3:10]
+        for size in (1, 3):
+            grams = [[Counter(tuple(row[i : i + size]) for i in range(12 - size + 1)) for row in side.tolist()] for side in (one, two)]
+            want = [[(a & b).total() for b in grams[1]] for a in grams[0]]
+            assert passages.in_common(one, two, size).tolist() == want
+
+
+def test_alike_contexts_go_on_beyond_the_equal_run():
+    """A changed word in equal surroundings is gone over; a common line in other surroundings is not."""
+    width, middle = 2 * passages.CONTEXT + passages.WORDS, passages.CONTEXT
+    text, other = np.arange(width, dtype=np.uint32), np.arange(1000, 1000 + width, dtype=np.uint32)
+    changed, line = text.copy(), other.copy()
+    changed[[middle - 3, middle + 9]] = 7_000, 7_001
+    line[middle - 20 : middle + 25] = text[middle - 20 : middle + 25]
+    assert passages.alike(np.stack([text]), np.stack([changed, line, other])).tolist() == [[True, False, False]]
+
+
 def edited(pick, words, edits):
     """``words`` with ``edits`` changed, inserted or deleted words at different places."""
     words = list(words)
